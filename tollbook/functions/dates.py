@@ -24,28 +24,30 @@ LEADING_WEEKDAY = r"^[A-Za-z]{3}\s+"
 ICC_DATE_FORMS = ("dd/MM/yyyy HH:mm:ss", "yyyy-MM-dd", "yyyyMMdd")
 
 
-def _date_in_form(text: Column, form: str) -> Column:
-    # No field of these forms can hold ":" or "/", so a text whose separators
-    # differ cannot match. Testing that first costs far less than a failed parse.
-    possible = F.lit(True)
-    for separator in ":/":
-        present = text.contains(separator)
-        possible = possible & (present if separator in form else ~present)
-    if "-" in form:
-        possible = possible & text.contains("-")
-    return F.when(possible, F.try_to_date(text, form))
+def _first_match(text: Column, tries: Iterable[tuple[str, Column]]) -> Column:
+    # No field of these forms can hold "/" or ":", so only forms with the text's own
+    # separators can match. Sorting them out first saves most of the failing parses.
+    groups: dict[tuple[bool, bool], list[Column]] = {}
+    for form, candidate in tries:
+        groups.setdefault(("/" in form, ":" in form), []).append(F.try_to_date(candidate, form))
+    found = [
+        F.when((text.contains("/") == slash) & (text.contains(":") == colon), F.coalesce(*parsed))
+        for (slash, colon), parsed in groups.items()
+    ]
+    return F.coalesce(*found)
 
 
 def first_date(c: Column | str, forms: Iterable[str]) -> Column:
     """Date by the first form that matches, NULL if none does."""
     text = _column(c)
-    return F.coalesce(*[_date_in_form(text, form) for form in forms])
+    return _first_match(text, [(form, text) for form in forms])
 
 
 def flexi_date(c: Column | str) -> Column:
     """Date of a flexi record: five numeric forms, then weekday-and-month text."""
-    after_weekday = F.regexp_replace(F.trim(_column(c)), LEADING_WEEKDAY, "")
-    return F.coalesce(first_date(c, FLEXI_DATE_FORMS), _date_in_form(after_weekday, WEEKDAY_DATE_FORM))
+    text = _column(c)
+    after_weekday = F.regexp_replace(F.trim(text), LEADING_WEEKDAY, "")
+    return _first_match(text, [*[(form, text) for form in FLEXI_DATE_FORMS], (WEEKDAY_DATE_FORM, after_weekday)])
 
 
 def icc_date(c: Column | str) -> Column:

@@ -15,10 +15,15 @@ def _column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def without_null_tokens(c: Column | str) -> Column:
+    """Trimmed text with NULL for blank text and null tokens."""
+    text = _column(c)
+    return F.when((text != "") & ~F.lower(text).isin(*NULL_TOKENS), text)
+
+
 def clean_text(c: Column | str) -> Column:
     """Text without outer spaces; blank text and null tokens become NULL. Tabs are kept."""
-    text = F.trim(_column(c))
-    return F.when((text != "") & ~F.lower(text).isin(*NULL_TOKENS), text)
+    return without_null_tokens(F.trim(_column(c)))
 
 
 def plain_double(c: Column | str) -> Column:

@@ -8,15 +8,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tollbook.functions.text import clean_text
+from tollbook.functions.text import without_null_tokens
 from tollbook.operators.shape import business_columns, select_present
 
 
 def normalize_strings(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
-    """Apply :func:`clean_text` to the string columns among ``columns`` (default: all)."""
+    """Apply :func:`~tollbook.functions.text.clean_text` to the string columns among ``columns`` (default: all)."""
     chosen = set(df.columns if columns is None else columns)
-    texts = {name for name, kind in df.dtypes if kind == "string"} & chosen
-    return df.select(*[clean_text(name).alias(name) if name in texts else F.col(name) for name in df.columns])
+    texts = [name for name, kind in df.dtypes if kind == "string" and name in chosen]
+    # Two steps, so that each text is trimmed once and not per use.
+    trimmed = df.withColumns({name: F.trim(name) for name in texts})
+    return trimmed.withColumns({name: without_null_tokens(name) for name in texts})
 
 
 def drop_all_null(df: DataFrame) -> DataFrame:

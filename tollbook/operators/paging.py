@@ -7,6 +7,7 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tollbook.session import scratch_path
 
@@ -57,9 +58,8 @@ def deep_page(df: DataFrame, order: Sequence[Column], limit: int, offset: int) -
     )
 
 
-def _with_range(df: DataFrame):
-    schema = df.limit(0).schema
-    return type(schema)(list(schema.fields)).add("_tie", "long").add("_range", "int")
+def _with_range(df: DataFrame) -> T.StructType:
+    return T.StructType([*df.schema.fields, T.StructField("_tie", T.LongType()), T.StructField("_range", T.IntegerType())])
 
 
 def days_of_page(df: DataFrame, time: str, limit: int, offset: int) -> tuple[DataFrame, int]:

@@ -16,9 +16,9 @@ def prepare_usage(
 ) -> DataFrame:
     """Dated usage rows from staging rows; rows without a date are left out.
 
-    Icc rows fit as well: pass their column names.
+    The parts of a date are all known or all NULL. Icc rows fit as well: pass their column names.
     """
-    return staged.where("year is not null and month is not null and day is not null").select(
+    return staged.where("year is not null").select(
         F.make_date("year", "month", "day").alias("usage_date"),
         usage_code(category).alias("call_type_code"),
         plain_double(duration).alias("used_duration"),
