@@ -8,7 +8,9 @@ from tollbook.catalog import inputs as I
 from tollbook.catalog import query, table
 from tollbook.functions import dates, text
 from tollbook.operators import clean, shape, staging, usage
-from tollbook.schemas import FLEXI_COLUMNS, FLEXI_KEYS, FLEXI_SCHEMA, ICC_COLUMNS, ICC_KEYS, ICC_SCHEMA
+from tollbook.schemas import FLEXI_COLUMNS, FLEXI_KEYS, ICC_COLUMNS, ICC_KEYS, ICC_SCHEMA, PROCESSED_FLEXI
+from tollbook.session import scratch_path
+from tollbook.sinks.store import TableStore
 
 
 @query(
@@ -149,9 +151,19 @@ def staging_icc(spark, folder):
     return staging.stage_icc(clean_icc(spark, folder))
 
 
+def staged_through_table(spark, folder):
+    """Staging rows from the processed table, as a batch makes them."""
+    store = TableStore(spark, scratch_path(spark, "processed"))
+    raw = I.raw_flexi(spark, folder).withColumns(
+        {"_source_file": F.col("ftp_filename"), "_ingested_at": F.current_timestamp()}
+    )
+    store.write_batch(clean.clean_records(raw, FLEXI_COLUMNS, FLEXI_KEYS), PROCESSED_FLEXI, "b1")
+    return staging.stage_flexi(store.read_batch(PROCESSED_FLEXI, "b1"))
+
+
 @query("usage_prepared", f"with {I.PREPARED_FLEXI} select usage_date, call_type_code, used_duration from prepared")
 def usage_prepared(spark, folder):
-    return usage.prepare_usage(staging_flexi(spark, folder)).drop("record_id")
+    return usage.prepare_usage(staged_through_table(spark, folder)).drop("record_id")
 
 
 @query(

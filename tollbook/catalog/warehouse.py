@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tollbook.catalog import inputs as I
 from tollbook.catalog import query, table
-from tollbook.catalog.records import staging_flexi
+from tollbook.catalog.records import staged_through_table
 from tollbook.functions.dates import date_key, date_of_key
 from tollbook.functions.text import fixed_amount
 from tollbook.operators import dimensions, facts, usage
@@ -50,8 +50,8 @@ def daily_usage_salted(spark, folder):
 
 @query("daily_usage_cleaned", f"with {I.DAILY_FLEXI} select {DAILY_SHOWN} from daily")
 def daily_usage_cleaned(spark, folder):
-    """From raw records: clean, stage, prepare, aggregate."""
-    return rounded(usage.daily_usage(usage.prepare_usage(staging_flexi(spark, folder))))
+    """From raw records: clean, write, stage, prepare, aggregate."""
+    return rounded(usage.daily_usage(usage.prepare_usage(staged_through_table(spark, folder))))
 
 
 @query(

@@ -25,11 +25,15 @@ ICC_DATE_FORMS = ("dd/MM/yyyy HH:mm:ss", "yyyy-MM-dd", "yyyyMMdd")
 
 
 def _first_match(text: Column, tries: Iterable[tuple[str, Column]]) -> Column:
-    # No field of these forms can hold "/" or ":", so only forms with the text's own
-    # separators can match. Sorting them out first saves most of the failing parses.
+    # A parse that fails costs far more than one that succeeds, so forms that cannot
+    # match are sorted out by separators. No field can hold "/" or ":", which makes
+    # those decide both ways; a year may have a sign, so "-" only rules out its absence.
     groups: dict[tuple[bool, bool], list[Column]] = {}
     for form, candidate in tries:
-        groups.setdefault(("/" in form, ":" in form), []).append(F.try_to_date(candidate, form))
+        parsed = F.try_to_date(candidate, form)
+        if "-" in form:
+            parsed = F.when(text.contains("-"), parsed)
+        groups.setdefault(("/" in form, ":" in form), []).append(parsed)
     found = [
         F.when((text.contains("/") == slash) & (text.contains(":") == colon), F.coalesce(*parsed))
         for (slash, colon), parsed in groups.items()
