@@ -60,6 +60,17 @@ def usage_summary_daily(curated: DataFrame) -> DataFrame:
     return curated.select(*SUMMARY_COLUMNS)
 
 
+def with_month(df: DataFrame) -> DataFrame:
+    """Add the first day of the month, the folder a row is stored in."""
+    return df.withColumn("usage_month", F.trunc("usage_date", "month"))
+
+
+def same_months(df: DataFrame, incoming: DataFrame) -> DataFrame:
+    """Stored rows in months that occur in ``incoming``; other folders are pruned at run time."""
+    months = with_month(incoming).select("usage_month").distinct()
+    return df.join(months, "usage_month", "left_semi")
+
+
 def replace_dates(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """Existing rows of other dates plus all incoming rows."""
     touched = incoming.select("usage_date").distinct()

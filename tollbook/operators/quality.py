@@ -38,10 +38,12 @@ def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
 
 def violations(df: DataFrame, table: Table, parents: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Rules of ``table`` the rows of ``df`` break, with the number of breaches."""
-    counts = [rule_violations(df, table.required, table.widths)]
+    counts = [rule_violations(df, table.required, table.widths)] if table.required or table.widths else []
     found = {f"duplicate {', '.join(keys)}": duplicate_keys(df, keys) for keys in table.unique}
     found |= {f"{key} without its dimension row": orphans(df, parent, key) for key, parent in (parents or {}).items()}
     counts += [rows.agg(F.lit(rule).alias("rule"), F.count("*").alias("violations")) for rule, rows in found.items()]
+    if not counts:
+        return df.sparkSession.createDataFrame([], "rule string, violations bigint")
     return reduce(DataFrame.unionByName, counts).where("violations > 0")
 
 

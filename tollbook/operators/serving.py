@@ -39,17 +39,28 @@ def _check_range(date_from: date, date_to: date) -> None:
 
 def filter_usage(df: DataFrame, date_from: date, date_to: date, call_type: str | None = None) -> DataFrame:
     """Rows of an inclusive date range, and of one category if given (case ignored)."""
+    return _of_type(_in_range(df, date_from, date_to), call_type)
+
+
+def _in_range(df: DataFrame, date_from: date, date_to: date) -> DataFrame:
     _check_range(date_from, date_to)
     rows = df.where(F.col("usage_date").between(F.lit(date_from), F.lit(date_to)))
-    if call_type:
-        rows = rows.where(F.upper(F.trim("call_type_code")) == call_type.upper())
+    if "usage_month" in df.columns:
+        # Stored tables have a folder per month; name the months so that others are not listed.
+        rows = rows.where(F.col("usage_month").between(F.lit(date_from.replace(day=1)), F.lit(date_to)))
     return rows
 
 
+def _of_type(df: DataFrame, call_type: str | None) -> DataFrame:
+    return df.where(F.upper(F.trim("call_type_code")) == call_type.upper()) if call_type else df
+
+
 def _usage_daily(fact: DataFrame, dim: DataFrame, date_from: date, date_to: date, call_type: str | None) -> DataFrame:
     codes = dim.select("call_type_key", "call_type_code")
-    amounts = fact.select("usage_date", "call_type_key", "event_count", "total_used_duration")
-    return filter_usage(amounts.join(codes, "call_type_key", "left"), date_from, date_to, call_type)
+    amounts = _in_range(fact, date_from, date_to).select(
+        "usage_date", "call_type_key", "event_count", "total_used_duration"
+    )
+    return _of_type(amounts.join(codes, "call_type_key", "left"), call_type)
 
 
 def usage_daily_page(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tollbook import schemas as S
-from tollbook.functions.text import object_store_path
+from tollbook.functions.text import fixed_amount, object_store_path
 from tollbook.operators import clean, dimensions, facts, staging, usage
 from tollbook.operators.quality import enforce
 from tollbook.plans.registry import Manifest
@@ -144,11 +144,13 @@ def load_warehouse(store: TableStore, options: BatchOptions, batch_id: str) -> N
         add_dimension_members(store, daily, batch_id)
         dim = store.read(S.DIM_CALL_TYPE)
         fact = facts.fact_usage_daily(daily, dim, options.broadcast_rows)
-        with kept(facts.curate_fact(fact).hint("rebalance", "usage_date")) as curated:
+        with kept(facts.curate_fact(fact)) as curated:
             stored = facts.stored_fact(curated)
             enforce(stored, S.FACT_USAGE_DAILY, {"date_key": store.read(S.DIM_DATE), "call_type_key": dim})
             store.overwrite(curated, S.CURATED_FACT)
-            store.write_new_batch_rows(stored, S.FACT_USAGE_DAILY, batch_id)
+            # Bring each month together, so that it is written as few files.
+            by_month = facts.with_month(stored).hint("rebalance", "usage_month")
+            store.write_new_batch_rows(by_month, S.FACT_USAGE_DAILY, batch_id)
             replace_summary(store, options, curated)
 
 
@@ -167,11 +169,15 @@ def add_dimension_members(store: TableStore, daily: DataFrame, batch_id: str) ->
 
 
 def replace_summary(store: TableStore, options: BatchOptions, curated: DataFrame) -> None:
-    """Replace the summary of the dates in ``curated``."""
+    """Replace the summary of the dates in ``curated``; other dates of their months are written again."""
     if options.summary_mode == "accumulate":
-        rows = facts.accumulate_dates(store.read(S.FACT_USAGE_DAILY), curated)
+        stored = facts.same_months(store.read(S.FACT_USAGE_DAILY), curated)
+        rows = facts.accumulate_dates(stored, curated)
     else:
         rows = facts.usage_summary_daily(curated)
-    with kept(rows.hint("rebalance", "usage_date")) as summary:
+    amount = fixed_amount("total_used_duration")
+    fresh = facts.with_month(rows).withColumns({"total_used_duration": amount, "created_at": F.current_timestamp()})
+    with kept(fresh) as summary:
         enforce(summary, S.USAGE_SUMMARY_DAILY)
-        store.replace_partitions(summary.withColumn("created_at", F.current_timestamp()), S.USAGE_SUMMARY_DAILY)
+        months = facts.same_months(store.read(S.USAGE_SUMMARY_DAILY), summary)
+        store.rewrite_partitions(facts.replace_dates(months, summary), S.USAGE_SUMMARY_DAILY)

@@ -6,7 +6,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
-
 STRING, DOUBLE, BOOLEAN = T.StringType(), T.DoubleType(), T.BooleanType()
 SHORT, INT, LONG = T.ShortType(), T.IntegerType(), T.LongType()
 DATE, TIMESTAMP = T.DateType(), T.TimestampType()
@@ -44,6 +43,7 @@ DEFAULT_JOB = "transform_usage_daily"
 DEFAULT_CLAIM_SIZE = 40
 ERROR_TEXT_LENGTH = 1900
 
+
 @dataclass(frozen=True)
 class Table:
     """A stored table: schema, layout and the rules its writer enforces."""
@@ -104,13 +104,14 @@ DIM_CALL_TYPE = Table(
     required=("call_type_key", "call_type_code", "call_type_name", "is_active"),
     widths={"call_type_code": 50, "call_type_name": 100},
 )
+# The fact and the summary hold few rows per day, so their folders are months.
 FACT_USAGE_DAILY = Table(
     "warehouse/fact_usage_daily",
     _schema(
-        date_key=INT, call_type_key=LONG, call_type=STRING, event_count=LONG,
-        total_used_duration=AMOUNT, created_at=TIMESTAMP, usage_date=DATE, batch_id=STRING,
+        date_key=INT, call_type_key=LONG, usage_date=DATE, call_type=STRING, event_count=LONG,
+        total_used_duration=AMOUNT, created_at=TIMESTAMP, usage_month=DATE, batch_id=STRING,
     ),
-    partitioned_by=("usage_date", "batch_id"),
+    partitioned_by=("usage_month", "batch_id"),
     required=("event_count",),
     widths={"call_type": 50},
 )
@@ -124,10 +125,10 @@ CURATED_FACT = Table(
 USAGE_SUMMARY_DAILY = Table(
     "warehouse/usage_summary_daily",
     _schema(
-        call_type_key=LONG, call_type_code=STRING, event_count=LONG, total_used_duration=AMOUNT,
-        created_at=TIMESTAMP, usage_date=DATE,
+        usage_date=DATE, call_type_key=LONG, call_type_code=STRING, event_count=LONG,
+        total_used_duration=AMOUNT, created_at=TIMESTAMP, usage_month=DATE,
     ),
-    partitioned_by=("usage_date",),
+    partitioned_by=("usage_month",),
     unique=(("usage_date", "call_type_code"),),
     required=("usage_date", "call_type_code", "event_count"),
     widths={"call_type_code": 50},

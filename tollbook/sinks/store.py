@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollbook.schemas import Table
+from tollbook.session import scratch_path
 
 
 class TableStore:
@@ -56,6 +57,16 @@ class TableStore:
             .parquet(self.path(table))
         )
 
+    def rewrite_partitions(self, df: DataFrame, table: Table) -> None:
+        """Replace the partitions that occur in ``df``, which may read them itself.
+
+        The new rows are written to the shared folder first, so that the rows they
+        derive from are still there whatever has to be computed again.
+        """
+        work = scratch_path(self.spark, "rewrite")
+        self._shaped(df, table).hint("rebalance", *table.partitioned_by).write.parquet(work)
+        self.replace_partitions(self.spark.read.schema(table.schema).parquet(work), table)
+
     def write_batch(self, df: DataFrame, table: Table, batch_id: str) -> None:
         """Write the rows of a batch, replacing what it wrote before."""
         self.replace_partitions(df.withColumn("batch_id", F.lit(batch_id)), table)
