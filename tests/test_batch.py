@@ -27,6 +27,17 @@ def flexi(folder, name, *lines):
     write(folder, name, FLEXI_HEADER, *lines)
 
 
+@pytest.fixture(scope="module", autouse=True)
+def interpreted(spark):
+    """Many small jobs on a few rows: compiling them takes longer than running them."""
+    settings = {"spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key in settings:
+        spark.conf.unset(key)
+
+
 @pytest.fixture
 def place(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "tables"))

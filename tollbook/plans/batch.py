@@ -165,7 +165,8 @@ def add_dimension_members(store: TableStore, daily: DataFrame, batch_id: str) ->
     stamp = {"created_at": F.current_timestamp(), "batch_id": F.lit(batch_id)}
     for members, table in ((new_dates, S.DIM_DATE), (new_types, S.DIM_CALL_TYPE)):
         with kept(members) as rows:
-            store.append(enforce(rows, table).withColumns(stamp), table)
+            if not rows.isEmpty():
+                store.append(enforce(rows, table).withColumns(stamp), table)
 
 
 def replace_summary(store: TableStore, options: BatchOptions, curated: DataFrame) -> None:
