@@ -11,6 +11,7 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -50,6 +51,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def empty_frame(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows of a schema, in a form the optimizer recognises and drops from joins and unions."""
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+    return spark.range(1).where(F.lit(False)).select(*nothing)
+
+
 def shuffle_partitions_for(input_bytes: int, at_least: int) -> int:
     """Partitions that keep a shuffle of ``input_bytes`` near 128 MB each."""
     return max(at_least, -(-input_bytes // SHUFFLE_BYTES_PER_PARTITION))

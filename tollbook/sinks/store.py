@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollbook.schemas import Table
-from tollbook.session import scratch_path
+from tollbook.session import empty_frame, scratch_path
 
 
 class TableStore:
@@ -27,7 +27,7 @@ class TableStore:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], table.schema)
+            return empty_frame(self.spark, table.schema)
 
     def read_batch(self, table: Table, batch_id: str) -> DataFrame:
         """Rows one batch wrote; only its partitions are scanned."""

@@ -12,13 +12,14 @@ from pyspark.sql import types as T
 
 from tollbook.operators.shape import fit_to_schema, with_lineage
 from tollbook.schemas import LINEAGE_COLUMNS, LINEAGE_SCHEMA
+from tollbook.session import empty_frame
 
 HEADER_READERS = 16
 
 
 def empty_records(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """No rows, with the columns of ``schema`` and lineage."""
-    return spark.createDataFrame([], T.StructType(schema.fields + LINEAGE_SCHEMA.fields))
+    return empty_frame(spark, T.StructType(schema.fields + LINEAGE_SCHEMA.fields))
 
 
 def _reader(spark: SparkSession) -> DataFrameReader:
