@@ -58,3 +58,20 @@ def test_date_ranges_prune_stored_months(spark, tmp_path):
     assert df.count() == 25
     assert re.search(r"PartitionFilters: \[isnotnull\(usage_month#\d+\), \(usage_month#\d+ >= 2024-02-01\)", plan(df))
     assert len({r[0] for r in df.select(F.col("_metadata.file_path")).distinct().collect()}) == 1
+
+
+def test_aggregation_scans_three_staging_columns_of_one_batch(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tollbook.operators.usage import daily_usage, prepare_usage
+    from tollbook.schemas import STAGING_FLEXI
+
+    store = TableStore(spark, str(tmp_path / "t"))
+    row = spark.range(3).select(*[F.lit("1").try_cast(f.dataType).alias(f.name) for f in STAGING_FLEXI.schema])
+    store.write_batch(row, STAGING_FLEXI, "b1")
+    daily = daily_usage(prepare_usage(store.read_batch(STAGING_FLEXI, "b1")))
+    text = plan(daily)
+    assert "ReadSchema: struct<record_type:string,duration:string,year:int,month:int,day:int>" in text
+    assert "PushedFilters: [IsNotNull(year)]" in text
+    assert text.count("Exchange") == 1
+    assert [r["event_count"] for r in daily.collect()] == [3]
