@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import database, difference
+from tollbook import catalog
 from tollbook.operators import serving
 from tollbook.schemas import USAGE_SUMMARY_DAILY
 from tollbook.sinks.store import TableStore
@@ -24,14 +25,15 @@ def plan(df):
 
 
 def test_every_query_has_its_check():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert catalog.QUERIES.keys() == catalog.CHECKS.keys()
+    assert catalog.QUERIES.keys() <= entry.queries().keys()
 
 
 def test_entry(spark):
     assert entry.entry(spark).columns == ["usage_date", "call_type_code", "event_count", "total_used_duration"]
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_equals_its_check(spark, con, name):
     df = entry.queries()[name](spark, FOLDER)
     assert difference(df, con, entry.oracle_sql()[name]) is None
