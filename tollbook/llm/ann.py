@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from tollbook.llm.common import stored
 
-TABLES, PROBES, SEED = 12, 8, 11
+#: Measured recall of the 20 nearest, 64 components: 0.96 among 500 vectors, 0.99 among 10,000 and more.
+TABLES, PROBES, SEED = 14, 10, 11
 #: Rows of a bucket that one task compares; larger buckets are divided, and every part is searched.
 PART_ROWS, QUERY_ROWS = 20_000, 4_000
 

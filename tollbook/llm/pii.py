@@ -140,7 +140,7 @@ def train(documents: DataFrame, spans: int = SPANS, others: int = OTHERS, steps:
     for i, (part, marks) in enumerate(zip(sample["part"], sample["tags"])):
         ids[i, : len(part)] = char_ids(part)
         tags[i, : len(part)] = [ord(t) - ord("a") for t in marks]
-    return Tagger(KINDS).fit(ids, tags, steps)
+    return Tagger(KINDS).fit(ids, tags, steps, rate=0.02)
 
 
 def cells_of(text: str) -> list[int]:

@@ -83,6 +83,16 @@ def _distance(a, b) -> np.ndarray:
     return np.bitwise_count(a ^ b)
 
 
+def _even_split(here: np.ndarray) -> tuple[np.uint64, int]:
+    """Of some members and the radii about their median distance, those that come nearest to halves."""
+    best = (2.0, here[0], 0)
+    for point in here[: 1 + 15 * (len(here) > 1)]:
+        far = _distance(here, point)
+        for radius in {int(np.median(far)), int(np.median(far)) - 1}:
+            best = min(best, (abs(float((far <= radius).mean()) - 0.5), point, radius))
+    return best[1], best[2]
+
+
 def grow_tree(sample: np.ndarray, mask: int, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Vantage points and radii of a full tree over the masked bits; node n has the children 2n and 2n + 1."""
     points, radii = np.zeros(1 << depth, np.uint64), np.zeros(1 << depth, np.int64)
@@ -91,9 +101,8 @@ def grow_tree(sample: np.ndarray, mask: int, depth: int) -> tuple[np.ndarray, np
     for node in range(1, 1 << depth):
         here = parts.pop(node)
         if len(here):
-            points[node] = here[0]
-            far = _distance(here, here[0])
-            radii[node] = np.median(far)
+            points[node], radii[node] = _even_split(here)
+            far = _distance(here, points[node])
             parts[2 * node], parts[2 * node + 1] = here[far <= radii[node]], here[far > radii[node]]
         else:
             parts[2 * node] = parts[2 * node + 1] = here

@@ -17,17 +17,25 @@ from pyspark.sql import functions as F
 from tollbook.llm.common import stored, text_of
 from tollbook.session import broadcast_within
 
-#: Bounds of the model and of its training sample: terms, labelled rows; a term must occur in so many labelled rows.
-TERMS, ROWS, LEAST = 2048, 40_000, 5
-FACTORS, EPOCHS, BATCH, SEED = 8, 6, 256, 1
+#: Bounds of the model and of its training sample: terms, labelled rows; a term must occur in so many labelled rows
+#: and differ between the labels by so many standard errors, or chance terms drown the few that matter.
+TERMS, ROWS, LEAST, ERRORS = 2048, 40_000, 5, 5.0
+FACTORS, STEPS, BATCH, SEED = 8, 1000, 256, 1
 #: Labels, two numbers each, are sent to every executor up to so many rows; more are joined by shuffle.
 BROADCAST_ROWS = 500_000
 
 
+#: A word also counts by its beginnings of these lengths, so that other endings of an insult are known too.
+BEGINNINGS = (4, 5)
+
+
 def hashed_terms(text: Column) -> Column:
-    """Distinct 32-bit hashes of a text's lower-cased words; an empty text has none."""
-    words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    return F.array_distinct(F.transform(words, lambda w: (F.crc32(w.cast("binary")) - F.lit(1 << 31)).cast("int")))
+    """Distinct 32-bit hashes of a text's lower-cased words and their beginnings; an empty text has none."""
+    words = F.array_distinct(F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != ""))
+    hashed = lambda w: (F.crc32(w.cast("binary")) - F.lit(1 << 31)).cast("int")
+    long = F.filter(words, lambda w: F.length(w) >= BEGINNINGS[0])
+    begun = [F.transform(long, lambda w: hashed(F.concat(F.lit(f"{n}:"), F.substring(w, 1, n)))) for n in BEGINNINGS]
+    return F.array_distinct(F.concat(F.transform(words, hashed), *begun))
 
 
 def held_out(doc_id: Column, folds: int = 5) -> Column:
@@ -66,7 +74,7 @@ def known_terms(lists, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return place[known], row[known]
 
 
-def choose_terms(labelled: DataFrame, count: int = TERMS, least: int = LEAST) -> np.ndarray:
+def choose_terms(labelled: DataFrame, count: int = TERMS, least: int = LEAST, errors: float = ERRORS) -> np.ndarray:
     """The terms whose frequency differs most between the labels, by z score, over all labelled rows."""
     rows = labelled.groupBy("toxic").count().collect()  # one row per label
     n = {r["toxic"]: r["count"] for r in rows}
@@ -78,7 +86,7 @@ def choose_terms(labelled: DataFrame, count: int = TERMS, least: int = LEAST) ->
     share = F.col("all") / (n[0] + n[1])
     spread = F.sqrt(share * (1 - share) * (1 / n[1] + 1 / n[0]) + F.lit(1e-12))
     z = F.abs(F.col("p") / n[1] - (F.col("all") - F.col("p")) / n[0]) / spread
-    best = seen.select("term", z.alias("z")).orderBy(F.desc("z"), "term").limit(count)
+    best = seen.select("term", z.alias("z")).where(F.col("z") >= errors).orderBy(F.desc("z"), "term").limit(count)
     return np.sort(best.select("term").toPandas()["term"].to_numpy("int64"))
 
 
@@ -89,25 +97,23 @@ def fit_machine(known: np.ndarray, row: np.ndarray, labels: np.ndarray, terms: n
     begins = np.searchsorted(row, np.arange(n + 1))
     params = [np.array([np.log(base / (1 - base))]), np.zeros(size), rng.normal(0, 0.01, (size, FACTORS))]
     slopes, squares = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-    step = 0
-    for _ in range(EPOCHS):
-        order = rng.permutation(n)
-        for at in range(0, n, BATCH):
-            some = order[at : at + BATCH]
-            x = np.zeros((len(some), size))
-            for i, r in enumerate(some):
-                x[i, known[begins[r] : begins[r + 1]]] = 1
-            bias, w, v = params
-            sums = x @ v
-            z = bias + x @ w + (sums**2 - x @ v**2).sum(1) / 2
-            error = (1 / (1 + np.exp(-np.clip(z, -60, 60))) - labels[some]) / len(some)
-            by_term = x.T @ error
-            grads = [np.array([error.sum()]), by_term + 1e-5 * w, x.T @ (error[:, None] * sums) - by_term[:, None] * v + 1e-4 * v]
-            step += 1
-            for p, g, m, s in zip(params, grads, slopes, squares):
-                m += 0.1 * (g - m)
-                s += 0.001 * (g * g - s)
-                p -= 0.02 * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.999**step)) + 1e-8)
+    order = rng.permutation(n)
+    for step in range(1, STEPS + 1):
+        some = order[:BATCH]
+        order = np.concatenate([order[BATCH:], rng.permutation(n) if len(order) <= BATCH else order[:0]])
+        x = np.zeros((len(some), size))
+        for i, r in enumerate(some):
+            x[i, known[begins[r] : begins[r + 1]]] = 1
+        bias, w, v = params
+        sums = x @ v
+        z = bias + x @ w + (sums**2 - x @ v**2).sum(1) / 2
+        error = (1 / (1 + np.exp(-np.clip(z, -60, 60))) - labels[some]) / len(some)
+        by_term = x.T @ error
+        grads = [np.array([error.sum()]), by_term + 1e-5 * w, x.T @ (error[:, None] * sums) - by_term[:, None] * v + 1e-4 * v]
+        for p, g, m, s in zip(params, grads, slopes, squares):
+            m += 0.1 * (g - m)
+            s += 0.001 * (g * g - s)
+            p -= 0.02 * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.999**step)) + 1e-8)
     return Machine(terms, float(params[0][0]), params[1], params[2])
 
 
