@@ -188,30 +188,37 @@ def _routed(classes: DataFrame, rows: int, distance: int, shard: int) -> DataFra
 
 
 def _divided(rows: DataFrame, distance: int, most: int) -> DataFrame:
-    """Split shards of more than ``most`` members by a vantage point and the median distance to it, until none is left.
+    """Split shards of more than ``most`` home members by a vantage point and the median distance to it, until none is left.
 
     Members stay home on one side. Those of the near side whose ball reaches the far side visit it as guests, and
-    guests go wherever their ball reaches, so every linked pair meets in the home shard of one of the two.
+    guests go wherever their ball reaches, so every linked pair meets in the home shard of one of the two. Where a
+    shard has very many guests they come in blocks, each with the home members.
     """
-    done = []
+    done, home = [], F.col("home")
     for level in range(64):
-        sizes = rows.groupBy("shard").agg(F.count("*").alias("n"), F.min_by("fp", F.xxhash64("fp", F.lit(level))).alias("vantage"))
+        sizes = rows.where(home).groupBy("shard").agg(F.count("*").alias("n"), F.min_by("fp", F.xxhash64("fp", F.lit(level))).alias("vantage"))
         large = stored(sizes.where(F.col("n") > most).select("shard", "vantage"), "simhash-large")
         if large.isEmpty():
             break
         done.append(rows.join(large, "shard", "left_anti"))
         far = F.bit_count(F.col("fp").bitwiseXOR(F.col("vantage"))).cast("long")
         mine = rows.join(large, "shard").withColumn("far", far)
-        cuts = mine.groupBy("shard").agg(F.percentile_approx("far", 0.5).alias("radius"), F.max("far").alias("most"))
-        cuts = cuts.select("shard", F.when(F.col("radius") == F.col("most"), F.col("radius") - 1).otherwise(F.col("radius")).alias("radius"))
-        near, beyond = F.col("far") <= F.col("radius"), F.col("far") > F.col("radius")
-        left = F.when(F.col("home") & near, F.lit(True)).when(~F.col("home") & (F.col("far") - distance <= F.col("radius")), F.lit(False))
-        right = F.when(F.col("home") & beyond, F.lit(True)).when(
-            (F.col("home") & near | ~F.col("home")) & (F.col("far") + distance > F.col("radius")), F.lit(False)
-        )
+        cuts = mine.where(home).groupBy("shard").agg(F.percentile_approx("far", 0.5).alias("radius"), F.max("far").alias("most"))
+        cuts = cuts.select("shard", F.least("radius", F.col("most") - 1).alias("radius"))
+        near, reach = F.col("far") <= F.col("radius"), F.col("far") + distance > F.col("radius")
+        left = F.when(home & near, F.lit(True)).when(~home & (F.col("far") - distance <= F.col("radius")), F.lit(False))
+        right = F.when(home & ~near, F.lit(True)).when((near | ~home) & reach, F.lit(False))
         sides = F.array(F.struct(F.lit("l").alias("side"), left.alias("home")), F.struct(F.lit("r").alias("side"), right.alias("home")))
         moved = mine.join(cuts, "shard").select("shard", "fp", "id", F.explode(F.filter(sides, lambda s: s["home"].isNotNull())).alias("s"))
         rows = stored(moved.select(F.concat("shard", "s.side").alias("shard"), "fp", "id", F.col("s.home").alias("home")), "simhash-divided")
+    if not done:
+        return rows
+    guests = rows.where(~home).groupBy("shard").agg(F.ceil(F.count("*") / F.lit(most)).cast("int").alias("blocks")).where("blocks > 1")
+    blocks = F.coalesce("blocks", F.lit(1))
+    own = F.pmod(F.xxhash64("fp"), blocks).cast("int")
+    block = F.when(home, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(own))
+    dealt = rows.join(guests, "shard", "left").select("shard", F.explode(block).alias("block"), "fp", "id", "home")
+    rows = dealt.select(F.concat_ws(".", "shard", "block").alias("shard"), "fp", "id", "home")
     for more in done:
         rows = rows.unionByName(more)
     return rows
