@@ -1,6 +1,7 @@
 """Whole batches from CSV files to the summary."""
 
 import datetime as dt
+import os
 from decimal import Decimal
 
 import pytest
@@ -121,18 +122,97 @@ def late_batches(spark, place, mode):
     return summary(store)
 
 
-def test_late_batch_replaces_the_summary_of_its_dates(spark, place):
+def test_late_batch_replaces_the_summary_of_its_dates_on_request(spark, place):
     assert late_batches(spark, place, "replace_dates") == [
         (JAN15, "SMS", 1, Decimal("3.00")), (JAN15, "VOICE", 1, Decimal("2.00")), (JAN16, "VOICE", 1, Decimal("5.00"))
     ]
 
 
-def test_late_batch_accumulates_on_request(spark, place):
+def test_late_batch_accumulates(spark, place):
     assert late_batches(spark, place, "accumulate") == [
         (JAN15, "SMS", 1, Decimal("3.00")), (JAN15, "VOICE", 2, Decimal("3.00")), (JAN16, "VOICE", 1, Decimal("5.00"))
     ]
 
 
+def test_tables_do_not_depend_on_the_files_per_batch(spark, place, tmp_path):
+    """Files of one date with records in common; of two versions of a record that of the older file stays."""
+    folder, _, _ = place
+    for number, change in ((1, 300), (2, 100), (3, 200)):
+        name = f"frt_flexi_export_{number}.csv"
+        flexi(folder, name, f"{number},1,2024-01-15,voice,{number},,", f"9,9,2024-01-15,voice,{10 * number},,", "8,8,junk,sms,1,,")
+        os.utime(folder / name, (change, change))
+    seen = []
+    for files in (1, 2, 1000):
+        store = TableStore(spark, str(tmp_path / f"tables{files}"))
+        Manifest(store, S.DEFAULT_JOB).register(list_files(spark, str(folder)))
+        assert len(run_all(spark, store, BatchOptions(files=files))) == {1: 3, 2: 2, 1000: 1}[files]
+        fact = store.read(S.FACT_USAGE_DAILY).groupBy("usage_date", "call_type").agg(F.sum("event_count"), F.sum("total_used_duration"))
+        staged = rows(store.read(S.STAGING_FLEXI), "charging_id", "record_opening_time", "duration", "year")
+        seen.append((summary(store), rows(fact, *fact.columns), staged))
+    assert seen[0] == seen[1] == seen[2]
+    assert seen[0][0] == [(JAN15, "VOICE", 4, Decimal("26.00"))] and len(seen[0][2]) == 5
+
+
+def test_oldest_files_are_claimed_first(spark, place):
+    folder, _, manifest = place
+    for number, change in ((1, 300), (2, 100), (3, 200)):
+        flexi(folder, f"frt_flexi_export_{number}.csv", f"{number},1,2024-01-15,voice,1,,")
+        os.utime(folder / f"frt_flexi_export_{number}.csv", (change, change))
+    register(spark, place)
+    order = [manifest.claim(f"b{n}", 1).first()["s3_path"][-5] for n in range(3)]
+    assert order == ["2", "3", "1"]
+
+
+def test_a_used_batch_id_is_refused_and_changes_nothing(spark, place):
+    folder, store, manifest = place
+    flexi(folder, "frt_flexi_export_1.csv", "1,1,2024-01-15,voice,1,,", "2,1,2024-01-15,voice,1,,")
+    register(spark, place)
+    run_batch(spark, store, batch_id="daily")
+    before = [summary(store), store.read(S.STAGING_FLEXI).count(), store.read(S.FACT_USAGE_DAILY).count(), flags(manifest)]
+    flexi(folder, "frt_flexi_export_2.csv", "3,1,2024-01-15,voice,1,,")
+    register(spark, place)
+    with pytest.raises(ValueError, match="has been used"):
+        run_batch(spark, store, batch_id="daily")
+    before[3].append(("frt_flexi_export_2.csv", 0))
+    assert [summary(store), store.read(S.STAGING_FLEXI).count(), store.read(S.FACT_USAGE_DAILY).count(), flags(manifest)] == before
+
+
+def test_failed_files_are_put_back_to_work_and_the_log_is_compacted(spark, place):
+    folder, store, manifest = place
+    flexi(folder, "frt_flexi_export_1.csv", f"1,1,2024-01-15,{'x' * 51},1,,", "2,1,2024-01-15,voice,1,,")
+    register(spark, place)
+    with pytest.raises(ValueError):
+        run_batch(spark, store, batch_id="b1")
+    assert store.read(S.STAGING_FLEXI).isEmpty() and store.read(S.FACT_USAGE_DAILY).isEmpty()
+    flexi(folder, "frt_flexi_export_1.csv", "1,1,2024-01-15,sms,1,,", "2,1,2024-01-15,voice,1,,")
+    manifest.requeue()
+    assert flags(manifest) == [("frt_flexi_export_1.csv", 0)]
+    with pytest.raises(ValueError, match="has been used"):
+        run_batch(spark, store, batch_id="b1")
+    run_batch(spark, store)
+    assert [r[1:3] for r in summary(store)] == [("SMS", 1), ("VOICE", 1)]
+    before, log = rows(manifest.state(), *S.MANIFEST_COLUMNS), store.read(S.MANIFEST_LOG)
+    assert log.where("error_message is not null").count() == 1 and log.count() == 6
+    manifest.compact()
+    assert rows(manifest.state(), *S.MANIFEST_COLUMNS) == before and store.read(S.MANIFEST_LOG).count() == 1
+    manifest.requeue()
+    assert rows(manifest.state(), *S.MANIFEST_COLUMNS) == before
+
+
+def test_inserts_carry_their_time_and_scratch_is_removed(spark, place):
+    folder, store, _ = place
+    flexi(folder, "frt_flexi_export_1.csv", "1,1,2024-01-15,voice,1,,")
+    register(spark, place)
+    begun = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) - dt.timedelta(seconds=1)
+    shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    left = set(os.listdir(shared)) if os.path.isdir(shared) else set()
+    run_batch(spark, store)
+    for table in (S.DIM_DATE, S.DIM_CALL_TYPE, S.FACT_USAGE_DAILY, S.USAGE_SUMMARY_DAILY):
+        times = [r[0] for r in store.read(table).select(F.date_format("created_at", "yyyy-MM-dd HH:mm:ss.SSSSSS")).collect()]
+        assert times and all(t >= str(begun) for t in times)
+    assert set(os.listdir(shared)) <= left if os.path.isdir(shared) else True
+
+
 def test_lost_run_is_continued_under_its_batch_id(spark, place):
     folder, store, manifest = place
     flexi(folder, "frt_flexi_export_1.csv", "1,1,2024-01-15,voice,1,,")
@@ -178,7 +258,7 @@ def test_missing_file_fails_the_batch(spark, place):
     assert flags(manifest) == [("frt_flexi_export_1.csv", 2)]
 
 
-def test_records_of_earlier_batches_are_skipped_on_request(spark, place):
+def test_records_of_earlier_batches_are_skipped_unless_asked_for(spark, place):
     folder, store, _ = place
     line = "1,1,2024-01-15,voice,1,,"
     for number, skip, staged in ((1, False, 1), (2, True, 2), (3, False, 3)):

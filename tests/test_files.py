@@ -9,7 +9,7 @@ from tollbook.session import broadcast_within, scratch_path, shuffle_partitions_
 from tollbook.sinks.files import target_partitions, write_parquet
 from tollbook.sinks.jdbc import jdbc_write_options, with_retries
 from tollbook.sinks.store import TableStore
-from tollbook.sources.csv_files import read_csv_records
+from tollbook.sources.csv_files import paths_by_header, read_csv_records
 from tollbook.sources.files import list_files, total_bytes
 from tollbook.sources.jdbc import Split, jdbc_options
 from tollbook.sources.parquet import read_parquet
@@ -84,8 +84,49 @@ def test_store_replaces_batches_and_reads_missing_tables_as_empty(spark, tmp_pat
     for batch_id, rows in (("01", df), ("02", df), ("01", df.limit(1))):
         store.write_batch(rows, S.PROCESSED_FLEXI, batch_id)
     assert {b: store.read_batch(S.PROCESSED_FLEXI, b).count() for b in ("01", "02", "03")} == {"01": 1, "02": 3, "03": 0}
-    plan = store.read_batch(S.PROCESSED_FLEXI, "01")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(batch_id" in plan
+    assert len(store.read_batch(S.PROCESSED_FLEXI, "01").inputFiles()) == 1
+    store.remove_batch(S.PROCESSED_FLEXI, "02")
+    assert store.read(S.PROCESSED_FLEXI).select("batch_id").distinct().collect() == [("01",)]
+
+
+def test_store_lists_only_the_folders_it_is_asked_for(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "t"))
+    days = spark.sql("select explode(sequence(date'2020-01-15', date'2023-12-15', interval 1 month)) as usage_date")
+    rows = days.withColumns({"usage_month": F.trunc("usage_date", "month"), "event_count": F.lit(1)})
+    empty = {f.name: F.lit(None).cast(f.dataType) for f in S.USAGE_SUMMARY_DAILY.schema if f.name not in rows.columns}
+    store.replace_partitions(rows.withColumns(empty), S.USAGE_SUMMARY_DAILY)
+    assert len(store.read(S.USAGE_SUMMARY_DAILY).inputFiles()) == 48
+    month = store.read(S.USAGE_SUMMARY_DAILY, {"usage_month": ["2021-03-01"]})
+    assert len(month.inputFiles()) == 1 and month.count() == 1
+    assert store.read(S.USAGE_SUMMARY_DAILY, {"usage_month": ["2021-03-01", "2021-04-01", "1999-01-01"]}).count() == 2
+    assert store.read(S.USAGE_SUMMARY_DAILY, {"usage_month": ["1999-01-01"]}).isEmpty()
+
+
+def test_staging_is_stored_by_month_and_undated_rows_apart(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "t"))
+    row = spark.range(4).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in S.STAGING_FLEXI.schema if f.name not in ("year", "month")], F.lit(2024).alias("year"), F.when(F.col("id") > 0, F.col("id")).cast("int").alias("month"))
+    undated = row.where("month is null").withColumn("year", F.lit(None).cast("int"))
+    for batch_id in ("a{1}", "b,c"):
+        store.write_batch(row.where("month is not null").union(undated.select(*row.columns)), S.STAGING_FLEXI, batch_id)
+    assert store.read_batch(S.STAGING_FLEXI, "a{1}").count() == store.read_batch(S.STAGING_FLEXI, "b,c").count() == 4
+    assert len(store.read(S.STAGING_FLEXI, {"year": [2024], "month": [2, 3]}).inputFiles()) == 4
+    assert store.read(S.STAGING_FLEXI, {"year": [None]}).where("year is null").count() == 2
+    store.remove_batch(S.STAGING_FLEXI, "a{1}")
+    assert store.read(S.STAGING_FLEXI).count() == 4
+
+
+def test_headers_take_one_job_for_any_number_of_files(spark, csv):
+    def jobs(paths):
+        spark.sparkContext.setJobGroup(f"headers {len(paths)}", "")
+        groups = paths_by_header(spark, paths)
+        spark.sparkContext.setJobGroup("", "")
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"headers {len(paths)}")), groups
+
+    paths = [csv(f"a {i}.csv", ICC, "1,r,t,sms,1.5") for i in range(12)] + [csv("empty.csv")]
+    few, _ = jobs(paths[:2] + paths[-1:])
+    many, groups = jobs(paths)
+    assert few == many and [len(files) for names, files in groups.items() if names == tuple(S.ICC_COLUMNS)] == [12]
+    assert read_csv_records(spark, paths, S.ICC_SCHEMA).count() == 12
 
 
 def test_retries_stop_at_the_first_success_and_raise_the_last_error():
@@ -116,7 +157,8 @@ def test_database_options():
     part = jdbc_options("jdbc:x", " SELECT 1", connection, Split("id", "0", "9", 4))
     assert part["dbtable"] == "( SELECT 1) source_query"
     assert (part["partitionColumn"], part["lowerBound"], part["upperBound"], part["numPartitions"]) == ("id", "0", "9", "4")
-    written = jdbc_write_options(connection, 50)
+    written = jdbc_write_options(connection, 50, 30)
+    assert (written["reWriteBatchedInserts"], written["queryTimeout"]) == ("true", "30")
     assert (written["batchsize"], written["isolationLevel"], written["truncate"]) == ("50", "NONE", "false")
 
 
@@ -135,7 +177,7 @@ def test_arrivals_are_registered_once(spark, csv, tmp_path):
 
 def test_shuffle_size_follows_the_input(spark):
     assert shuffle_partitions_for(0, 4) == 4
-    assert shuffle_partitions_for(100 * 2**40, 200) == 819200
+    assert shuffle_partitions_for(100 * 2**40, 200) == 81920
     before = spark.conf.get("spark.sql.shuffle.partitions")
     with shuffles_sized_for(spark, 2**33):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "64"

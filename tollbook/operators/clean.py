@@ -37,12 +37,19 @@ def dedup_by_keys(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     return df.withColumn("_place", place).where("_place = 1").drop("_place")
 
 
-def deduplicate(df: DataFrame, candidate_keys: Iterable[str]) -> DataFrame:
+def deduplicate(df: DataFrame, candidate_keys: Iterable[str], first_by: str | None = None) -> DataFrame:
     """One row per key, the same row however the input is partitioned.
 
     Keys are the candidates the frame has; without any, whole business rows are
-    compared. The winner is the smallest by source file and remaining columns.
+    compared. The winner is the smallest by source file and remaining columns, or
+    by the column ``first_by`` before these, which is then dropped.
     """
+    if first_by:
+        keys = [name for name in candidate_keys if name in df.columns]
+        keys = keys or business_columns(df.drop(first_by))
+        rest = sorted((name for name in df.columns if name not in [*keys, first_by]), key=lambda name: name != "_source_file")
+        order = [F.col(first_by).asc_nulls_last(), *[F.col(name).asc_nulls_first() for name in rest]]
+        return dedup_by_keys(df, keys, order).drop(first_by) if keys else df.drop(first_by)
     keys = [name for name in candidate_keys if name in df.columns] or business_columns(df)
     if not keys:
         return df
@@ -61,7 +68,23 @@ def drop_known(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataF
     return df.join(known, match, "left_anti")
 
 
-def clean_records(df: DataFrame, columns: Sequence[str], candidate_keys: Sequence[str]) -> DataFrame:
-    """Whole cleaning step of one source: select, normalise, drop empty, de-duplicate."""
-    chosen = select_present(df, columns)
-    return deduplicate(drop_all_null(normalize_strings(chosen, columns)), candidate_keys)
+def clean_records(
+    df: DataFrame, columns: Sequence[str], candidate_keys: Sequence[str], files: DataFrame | None = None
+) -> DataFrame:
+    """Whole cleaning step of one source: select, normalise, drop empty, de-duplicate.
+
+    With ``files`` (file, place), of rows with one key that of the first file stays, before anything else decides.
+    """
+    chosen = drop_all_null(normalize_strings(select_present(df, columns), columns))
+    if files is None:
+        return deduplicate(chosen, candidate_keys)
+    # One row per claimed file.
+    places = F.broadcast(files.select(plain_path("file").alias("_file"), F.col("place").alias("_first")))
+    placed = chosen.join(places, plain_path("_source_file") == F.col("_file"), "left").drop("_file")
+    return deduplicate(placed, candidate_keys, "_first")
+
+
+def plain_path(column: str) -> Column:
+    """A file's path in one spelling: escapes resolved, one slash after the scheme."""
+    whole = F.try_url_decode(F.replace(column, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(F.coalesce(whole, F.col(column)), "^([a-z0-9]+):/+", "$1:/")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from tollbook.functions.text import fixed_amount
 from tollbook.operators.dimensions import unique_keys
 from tollbook.session import broadcast_within
 
+# Columns of the fact and the summary.
 FACT_COLUMNS = ["date_key", "call_type_key", "call_type_code", "event_count", "total_used_duration"]
 CURATED_COLUMNS = ["date_key", "call_type_key", "usage_date", "call_type_code", "event_count", "total_used_duration"]
 SUMMARY_COLUMNS = ["usage_date", "call_type_key", "call_type_code", "event_count", "total_used_duration"]
@@ -18,12 +21,12 @@ SUMMARY_COLUMNS = ["usage_date", "call_type_key", "call_type_code", "event_count
 def fact_usage_daily(daily: DataFrame, dim: DataFrame, broadcast_rows: int | None = None) -> DataFrame:
     """Daily aggregate with its keys; rows without a date or a known category are left out.
 
-    With ``broadcast_rows`` the lookup is counted up to that many rows and broadcast
-    if it fits. Without it adaptive execution decides by the measured size.
+    With ``broadcast_rows`` the dimension is counted up to that many rows and the lookup
+    broadcast if it fits. Without it adaptive execution decides by the measured size.
     """
     lookup = unique_keys(dim)
     if broadcast_rows is not None:
-        lookup = broadcast_within(lookup, broadcast_rows)
+        lookup = broadcast_within(lookup, broadcast_rows, counted=dim)
     return (
         daily.where("usage_date is not null")
         .join(lookup, "call_type_code")
@@ -65,10 +68,9 @@ def with_month(df: DataFrame) -> DataFrame:
     return df.withColumn("usage_month", F.trunc("usage_date", "month"))
 
 
-def same_months(df: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Stored rows in months that occur in ``incoming``; other folders are pruned at run time."""
-    months = with_month(incoming).select("usage_month").distinct()
-    return df.join(months, "usage_month", "left_semi")
+def months_of(incoming: DataFrame) -> list[date]:
+    """Months that occur in ``incoming``: a few values, by which stored folders are named."""
+    return sorted(row[0] for row in with_month(incoming).select("usage_month").distinct().collect())
 
 
 def replace_dates(existing: DataFrame, incoming: DataFrame) -> DataFrame:

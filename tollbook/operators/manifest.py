@@ -13,6 +13,7 @@ from tollbook.operators.numbering import next_after, number_rows
 from tollbook.schemas import (
     CLAIMED,
     ERROR_TEXT_LENGTH,
+    FAILED,
     FLEXI,
     ICC,
     MANIFEST_COLUMNS,
@@ -31,18 +32,20 @@ def _flag(value: int | Column) -> Column:
 
 def current_state(log: DataFrame) -> DataFrame:
     """Latest change of each manifest row."""
-    latest = dedup_by_keys(log, ["id"], [F.col("change_no").desc()])
-    return latest.select(*MANIFEST_COLUMNS)
+    return compact_log(log).select(*MANIFEST_COLUMNS)
 
 
 def register_files(found: DataFrame, current: DataFrame, job_name: str, at: Column | datetime | None = None) -> DataFrame:
     """Pending rows for the paths in ``found`` the job has not seen, numbered after the rows there are.
 
-    ``current`` may be the state or the whole log.
+    A file's time is ``at`` if given, else its ``modificationTime`` if ``found`` has one, else
+    now; it decides which files are oldest. ``current`` may be the state or the whole log.
     """
     known = current.where(F.col("job_name") == job_name).select("s3_path")
-    fresh = found.select("s3_path").distinct().join(known, "s3_path", "left_anti")
-    when = F.current_timestamp() if at is None else at if isinstance(at, Column) else F.lit(at)
+    changed = F.min("modificationTime") if "modificationTime" in found.columns else F.lit(None)
+    listed = found.groupBy("s3_path").agg(changed.cast("timestamp").alias("_changed"))
+    fresh = listed.join(known, "s3_path", "left_anti")
+    when = F.coalesce("_changed", F.current_timestamp()) if at is None else at if isinstance(at, Column) else F.lit(at)
     numbered = number_rows(fresh, "s3_path", "id", next_after(current, "id"))
     return numbered.select(
         "id",
@@ -117,6 +120,30 @@ def batch_outcome(claimed: DataFrame, status: int) -> DataFrame:
     )
 
 
+def outcome_changes(claimed: DataFrame, batch_id: str, status: int, error: str | None = None) -> DataFrame:
+    """Changes that end a batch: the claimed rows with the status, except those that stay claimed."""
+    ended = batch_outcome(claimed, status).where(F.col("processed_flag") != CLAIMED)
+    return status_changes(claimed, ended, batch_id, status, error)
+
+
+def requeue_failed(current: DataFrame, job_name: str) -> DataFrame:
+    """Failed rows of a job changed back to pending. The log keeps their errors and batches."""
+    failed = current.where((F.col("job_name") == job_name) & (F.col("processed_flag") == FAILED))
+    return failed.withColumns(
+        {
+            "processed_flag": _flag(PENDING),
+            "processed_time": F.lit(None).cast("timestamp"),
+            "batch_id": F.lit(None).cast("string"),
+            "error_message": F.lit(None).cast("string"),
+        }
+    )
+
+
+def compact_log(log: DataFrame) -> DataFrame:
+    """The log with the latest change of each row only; the state stays the same."""
+    return dedup_by_keys(log, ["id"], [F.col("change_no").desc()])
+
+
 def status_counts(current: DataFrame, job_name: str) -> DataFrame:
     """Rows per status of a job."""
     rows = current.where(F.col("job_name") == job_name)

@@ -24,25 +24,26 @@ from tollbook.sources.files import total_bytes
 
 logger = logging.getLogger(__name__)
 
-SUMMARY_MODES = ("replace_dates", "accumulate")
+SUMMARY_MODES = ("accumulate", "replace_dates")
 
 
 @dataclass(frozen=True)
 class BatchOptions:
     """Settings of a batch.
 
-    ``summary_mode``: replace_dates lets a late batch replace the summary of its
-    dates; accumulate rebuilds those dates from all fact rows.
-    ``skip_staged`` drops records an earlier batch staged already.
+    ``summary_mode``: accumulate rebuilds the dates of a batch from all fact rows;
+    replace_dates lets a late batch replace the summary of its dates.
+    ``skip_staged`` drops records an earlier batch staged already. With both defaults
+    the tables don't depend on how files are divided into batches.
     ``processed_files`` fixes the number of processed files per batch.
     """
 
     job_name: str = S.DEFAULT_JOB
     files: int = S.DEFAULT_CLAIM_SIZE
     same_header: bool = False
-    skip_staged: bool = False
+    skip_staged: bool = True
     salt_buckets: int | None = None
-    summary_mode: str = "replace_dates"
+    summary_mode: str = "accumulate"
     processed_files: int | None = None
     broadcast_rows: int = 200_000
 
@@ -69,14 +70,17 @@ def run_batch(
     """Claim pending files and load them; None if nothing is pending.
 
     Passing the id of a batch whose run was lost continues it: every write
-    replaces what that batch wrote before. On an error the files of the batch
-    are marked failed and the error is raised.
+    replaces what that batch wrote before. An id that has ended is refused. On an
+    error the files of the batch are marked failed, its rows are removed, so that the
+    files can be put back to work, and the error is raised.
     """
     manifest = Manifest(store, options.job_name)
-    continued = batch_id is not None and not manifest.claimed(batch_id).isEmpty()
+    claimed = manifest.resume(batch_id) if batch_id else None
     batch_id = batch_id or new_batch_id()
-    claimed = manifest.claimed(batch_id) if continued else manifest.claim(batch_id, options.files)
-    work = claimed.select("dataset", object_store_path("s3_path").alias("path")).collect()
+    if claimed is None:
+        claimed = manifest.claim(batch_id, options.files)
+    oldest = claimed.select("dataset", object_store_path("s3_path").alias("path"), "ingest_time", "id").collect()
+    work = sorted(oldest, key=lambda row: (row["ingest_time"] is None, row["ingest_time"], row["id"]))
     if not work:
         logger.info("no pending files for job %s", options.job_name)
         return None
@@ -90,9 +94,11 @@ def run_batch(
             load_source(spark, store, options, batch_id, ICC_SOURCE, paths[S.ICC])
             load_warehouse(store, options, batch_id)
     except Exception as error:
-        manifest.finish(batch_id, S.FAILED, str(error))
+        for table in (S.PROCESSED_FLEXI, S.PROCESSED_ICC, S.STAGING_FLEXI, S.STAGING_ICC, S.FACT_USAGE_DAILY):
+            store.remove_batch(table, batch_id)
+        manifest.finish(claimed, batch_id, S.FAILED, str(error))
         raise
-    manifest.finish(batch_id, S.SUCCESS)
+    manifest.finish(claimed, batch_id, S.SUCCESS)
     return BatchResult(batch_id, *[len(paths[name]) for name in (S.FLEXI, S.ICC, S.UNKNOWN)])
 
 
@@ -111,10 +117,11 @@ class Source:
     processed: S.Table
     staging: S.Table
     stage: Callable[[DataFrame], DataFrame]
+    dated_key: bool
 
 
-FLEXI_SOURCE = Source(S.FLEXI_SCHEMA, S.FLEXI_KEYS, S.PROCESSED_FLEXI, S.STAGING_FLEXI, staging.stage_flexi)
-ICC_SOURCE = Source(S.ICC_SCHEMA, S.ICC_KEYS, S.PROCESSED_ICC, S.STAGING_ICC, staging.stage_icc)
+FLEXI_SOURCE = Source(S.FLEXI_SCHEMA, S.FLEXI_KEYS, S.PROCESSED_FLEXI, S.STAGING_FLEXI, staging.stage_flexi, True)
+ICC_SOURCE = Source(S.ICC_SCHEMA, S.ICC_KEYS, S.PROCESSED_ICC, S.STAGING_ICC, staging.stage_icc, False)
 
 
 def load_source(
@@ -123,18 +130,24 @@ def load_source(
     """Clean the files of one source into its processed and staging tables.
 
     Staging reads the processed Parquet back, so the de-duplicating shuffle runs
-    once and later steps start from stored columns instead of CSV.
+    once and later steps start from stored columns instead of CSV. Of records with one key
+    that of the oldest file stays, within a batch as between batches. Where the key
+    holds the record's time, only staged rows of the same months can have it.
     """
     if not paths:
         return
     raw = read_csv_records(spark, paths, source.schema, options.same_header)
-    records = clean.clean_records(raw, source.schema.fieldNames(), source.keys)
-    if options.skip_staged:
-        earlier = store.read(source.staging).where(F.col("batch_id") != batch_id)
-        records = clean.drop_known(records, earlier, source.keys)
+    records = clean.clean_records(raw, source.schema.fieldNames(), source.keys, spark.createDataFrame(list(zip(paths, range(len(paths)))), "file string, place int"))
     store.write_batch(target_partitions(records, options.processed_files), source.processed, batch_id)
-    processed = store.read_batch(source.processed, batch_id)
-    store.write_batch(source.stage(processed), source.staging, batch_id)
+    staged = source.stage(store.read_batch(source.processed, batch_id))
+    if options.skip_staged:
+        months = None
+        if source.dated_key:
+            found = staged.select("year", "month").distinct().collect()
+            months = {name: {row[name] for row in found} or {None} for name in ("year", "month")}
+        earlier = store.read(source.staging, months).where(F.col("batch_id") != batch_id)
+        staged = clean.drop_known(staged, earlier, source.keys)
+    store.write_batch(staged.hint("rebalance", "year", "month"), source.staging, batch_id)
 
 
 def load_warehouse(store: TableStore, options: BatchOptions, batch_id: str) -> None:
@@ -171,14 +184,16 @@ def add_dimension_members(store: TableStore, daily: DataFrame, batch_id: str) ->
 
 def replace_summary(store: TableStore, options: BatchOptions, curated: DataFrame) -> None:
     """Replace the summary of the dates in ``curated``; other dates of their months are written again."""
+    months = {"usage_month": facts.months_of(curated)}
+    if not months["usage_month"]:
+        return
     if options.summary_mode == "accumulate":
-        stored = facts.same_months(store.read(S.FACT_USAGE_DAILY), curated)
-        rows = facts.accumulate_dates(stored, curated)
+        rows = facts.accumulate_dates(store.read(S.FACT_USAGE_DAILY, months), curated)
     else:
         rows = facts.usage_summary_daily(curated)
     amount = fixed_amount("total_used_duration")
     fresh = facts.with_month(rows).withColumns({"total_used_duration": amount, "created_at": F.current_timestamp()})
     with kept(fresh) as summary:
         enforce(summary, S.USAGE_SUMMARY_DAILY)
-        months = facts.same_months(store.read(S.USAGE_SUMMARY_DAILY), summary)
-        store.rewrite_partitions(facts.replace_dates(months, summary), S.USAGE_SUMMARY_DAILY)
+        same_months = store.read(S.USAGE_SUMMARY_DAILY, months)
+        store.rewrite_partitions(facts.replace_dates(same_months, summary), S.USAGE_SUMMARY_DAILY)

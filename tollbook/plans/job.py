@@ -22,9 +22,11 @@ def parse_arguments(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--files", type=int, default=S.DEFAULT_CLAIM_SIZE, help="files claimed per batch")
     parser.add_argument("--all", action="store_true", help="run batches until nothing is pending")
     parser.add_argument("--same-header", action="store_true")
-    parser.add_argument("--skip-staged", action="store_true")
+    parser.add_argument("--keep-staged", action="store_true", help="load records again that were staged before")
+    parser.add_argument("--requeue", action="store_true", help="put failed files back to work first")
+    parser.add_argument("--compact", action="store_true", help="compact the manifest first")
     parser.add_argument("--salt-buckets", type=int)
-    parser.add_argument("--summary-mode", choices=SUMMARY_MODES, default="replace_dates")
+    parser.add_argument("--summary-mode", choices=SUMMARY_MODES, default="accumulate")
     parser.add_argument("--processed-files", type=int)
     return parser.parse_args(arguments)
 
@@ -37,11 +39,15 @@ def main(arguments: list[str] | None = None) -> None:
         job_name=args.job_name,
         files=args.files,
         same_header=args.same_header,
-        skip_staged=args.skip_staged,
+        skip_staged=not args.keep_staged,
         salt_buckets=args.salt_buckets,
         summary_mode=args.summary_mode,
         processed_files=args.processed_files,
     )
+    if args.requeue:
+        Manifest(store, args.job_name).requeue()
+    if args.compact:
+        Manifest(store, args.job_name).compact()
     if args.input:
         Manifest(store, args.job_name).register(list_files(spark, args.input, args.pattern))
     (run_all if args.all else run_batch)(spark, store, options)

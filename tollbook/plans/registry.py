@@ -8,14 +8,16 @@ from pyspark.sql import functions as F
 from tollbook.operators.manifest import (
     claim_oldest,
     claimed_rows,
+    compact_log,
     current_state,
+    outcome_changes,
     register_files,
-    status_changes,
+    requeue_failed,
     with_dataset,
 )
 from tollbook.operators.numbering import next_after
 from tollbook.operators.quality import enforce
-from tollbook.schemas import MANIFEST_LOG, UNKNOWN
+from tollbook.schemas import CLAIMED, MANIFEST_LOG
 from tollbook.session import kept
 from tollbook.sinks.store import TableStore
 
@@ -42,15 +44,42 @@ class Manifest:
             self._record(enforce(rows, MANIFEST_LOG))
 
     def claim(self, batch_id: str, files: int) -> DataFrame:
-        """Claim the oldest pending files of the job for a batch."""
-        self._record(claim_oldest(self.state(), self.job_name, batch_id, files))
-        return self.claimed(batch_id)
+        """Claim the oldest pending files of the job for a batch: their rows and dataset."""
+        claimed = self._local(claim_oldest(self.state(), self.job_name, batch_id, files))
+        self._record(claimed)
+        return with_dataset(claimed)
+
+    def resume(self, batch_id: str) -> DataFrame | None:
+        """The claimed files of a batch that was lost; None if no file ever belonged to the id.
+
+        An id that has ended, even in part, is refused: its rows would replace those of the first run.
+        """
+        log = self.store.read(MANIFEST_LOG).where(F.col("job_name") == self.job_name)
+        mine = log.where(F.col("batch_id") == batch_id).select("id").distinct()
+        now = self._local(current_state(log.join(mine, "id", "left_semi")))
+        rows = now.collect()
+        if not rows:
+            return None
+        if any(r["batch_id"] != batch_id or r["processed_flag"] != CLAIMED for r in rows):
+            raise ValueError(f"batch id {batch_id} has been used; a new batch needs a new id")
+        return with_dataset(now)
+
+    def _local(self, rows: DataFrame) -> DataFrame:
+        """The rows of one batch, at most as many as it claims files, without what they were computed from."""
+        return self.store.spark.createDataFrame(rows.collect(), rows.schema)
 
     def claimed(self, batch_id: str) -> DataFrame:
         """Claimed files of a batch with their dataset."""
         return with_dataset(claimed_rows(self.state(), self.job_name, batch_id))
 
-    def finish(self, batch_id: str, status: int, error: str | None = None) -> None:
+    def finish(self, claimed: DataFrame, batch_id: str, status: int, error: str | None = None) -> None:
         """Set the status of the batch's files; files of no known dataset stay claimed."""
-        known = self.claimed(batch_id).where(F.col("dataset") != UNKNOWN)
-        self._record(status_changes(self.state(), known, batch_id, status, error))
+        self._record(outcome_changes(claimed, batch_id, status, error))
+
+    def requeue(self) -> None:
+        """Put the failed files of the job back to work."""
+        self._record(requeue_failed(self.state(), self.job_name))
+
+    def compact(self) -> None:
+        """Keep the latest change of each file only."""
+        self.store.rewrite(compact_log(self.store.read(MANIFEST_LOG)), MANIFEST_LOG)

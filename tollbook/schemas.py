@@ -58,6 +58,7 @@ class Table:
 
 _BATCH = _schema(batch_id=STRING)
 
+# The stored tables.
 PROCESSED_FLEXI = Table(
     "processed/flexi",
     T.StructType(FLEXI_SCHEMA.fields + LINEAGE_SCHEMA.fields + _BATCH.fields),
@@ -71,12 +72,12 @@ PROCESSED_ICC = Table(
 STAGING_FLEXI = Table(
     "staging/flexi",
     T.StructType(FLEXI_SCHEMA.fields + LINEAGE_SCHEMA.fields + DATE_PARTS_SCHEMA.fields + _BATCH.fields),
-    partitioned_by=("batch_id",),
+    partitioned_by=("year", "month", "batch_id"),
 )
 STAGING_ICC = Table(
     "staging/icc",
     T.StructType(ICC_SCHEMA.fields + LINEAGE_SCHEMA.fields + DATE_PARTS_SCHEMA.fields + _BATCH.fields),
-    partitioned_by=("batch_id",),
+    partitioned_by=("year", "month", "batch_id"),
 )
 DIM_DATE = Table(
     "warehouse/dim_date",

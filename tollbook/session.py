@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import math
 import shutil
 import tempfile
 import uuid
@@ -23,6 +24,7 @@ DEFAULT_CONF = {
 }
 
 SHUFFLE_BYTES_PER_PARTITION = 128 * 1024 * 1024
+MANY_PARTITIONS = 8192
 
 
 def build_session(app_name: str = "tollbook", master: str | None = None, **conf: str) -> SparkSession:
@@ -58,8 +60,15 @@ def empty_frame(spark: SparkSession, schema: StructType) -> DataFrame:
 
 
 def shuffle_partitions_for(input_bytes: int, at_least: int) -> int:
-    """Partitions that keep a shuffle of ``input_bytes`` near 128 MB each."""
-    return max(at_least, -(-input_bytes // SHUFFLE_BYTES_PER_PARTITION))
+    """Partitions near 128 MB each; past ``MANY_PARTITIONS`` both number and size grow with the root of the input.
+
+    Every map task writes a block per partition, so a number that follows the input
+    makes blocks by its square.
+    """
+    wanted = -(-input_bytes // SHUFFLE_BYTES_PER_PARTITION)
+    if wanted > MANY_PARTITIONS:
+        wanted = math.isqrt(wanted * MANY_PARTITIONS)
+    return max(at_least, wanted)
 
 
 @contextmanager
@@ -74,13 +83,20 @@ def shuffles_sized_for(spark: SparkSession, input_bytes: int):
         spark.conf.set(key, before)
 
 
-def broadcast_within(df: DataFrame, max_rows: int) -> DataFrame:
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate or replaced data, if it is there."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def broadcast_within(df: DataFrame, max_rows: int, counted: DataFrame | None = None) -> DataFrame:
     """Hint a broadcast when ``df`` has at most ``max_rows`` rows, else leave the join to Spark.
 
     The check stops reading at ``max_rows + 1`` rows. Use it on stored tables
     of narrow rows; on computed frames adaptive execution measures the size itself.
+    ``counted`` is a stored table with at least as many rows, for frames that must be computed first.
     """
-    fits = df.limit(max_rows + 1).count() <= max_rows
+    fits = (df if counted is None else counted).limit(max_rows + 1).count() <= max_rows
     return F.broadcast(df) if fits else df
 
 

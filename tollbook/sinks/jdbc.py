@@ -26,9 +26,14 @@ def with_retries(action: Callable[[], None], attempts: int = 3, wait_seconds: fl
             time.sleep(max(wait_seconds, 0.0))
 
 
-def jdbc_write_options(connection: Mapping[str, str], batch_rows: int) -> dict[str, str]:
-    """Writer options: batched inserts outside a transaction, overwrite recreates the table."""
+def jdbc_write_options(connection: Mapping[str, str], batch_rows: int, timeout_seconds: int = 0) -> dict[str, str]:
+    """Writer options: batched inserts outside a transaction, overwrite recreates the table.
+
+    The driver joins the rows of a batch into one insert; a statement ends after ``timeout_seconds`` (0: never).
+    """
     return {
+        "reWriteBatchedInserts": "true",
+        "queryTimeout": str(timeout_seconds),
         "batchsize": str(batch_rows),
         "isolationLevel": "NONE",
         "truncate": "false",
@@ -43,15 +48,16 @@ def write_jdbc(
     connection: Mapping[str, str],
     mode: str = "append",
     batch_rows: int = 20_000,
-    partitions: int = 4,
+    partitions: int | None = None,
+    timeout_seconds: int = 0,
     attempts: int = 3,
     wait_seconds: float = 5.0,
 ) -> None:
-    """Write a frame to a table, one connection per partition.
+    """Write a frame to a table, one connection per partition of its plan or, merged, at most ``partitions``.
 
     A repeated append can leave rows of the failed attempt behind. Where that
     matters keep the rows in the table store, which replaces them per batch.
     """
-    writer = target_partitions(df, partitions).write.format("jdbc").mode(mode)
-    writer = writer.options(url=url, dbtable=table, **jdbc_write_options(connection, batch_rows))
+    writer = target_partitions(df, partitions, shrink=True).write.format("jdbc").mode(mode)
+    writer = writer.options(url=url, dbtable=table, **jdbc_write_options(connection, batch_rows, timeout_seconds))
     with_retries(writer.save, attempts, wait_seconds)

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable, Mapping
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollbook.schemas import Table
-from tollbook.session import empty_frame, scratch_path
+from tollbook.session import empty_frame, remove_folder, scratch_path
+
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 class TableStore:
@@ -20,18 +25,43 @@ class TableStore:
     def path(self, table: Table) -> str:
         return f"{self.root}/{table.name}"
 
-    def read(self, table: Table) -> DataFrame:
-        """All rows; an empty frame before the first write."""
+    def read(self, table: Table, folders: Mapping[str, Iterable] | None = None) -> DataFrame:
+        """All rows, or those in the folders with the given values; empty before the first write.
+
+        ``folders`` names values of partition columns. Only these folders are listed and
+        read; columns left out match any value.
+        """
+        root, path = self.path(table), self.path(table)
+        for name in table.partitioned_by if folders else ():
+            path += f"/{name}=" + self._folder(folders.get(name))
         try:
-            return self.spark.read.schema(table.schema).parquet(self.path(table))
+            return self.spark.read.schema(table.schema).option("basePath", root).parquet(path)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return empty_frame(self.spark, table.schema)
 
+    def _folder(self, values: Iterable | None) -> str:
+        """Glob for partition folders of these values."""
+        if values is None:
+            return "*"
+        escape = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+        names = [NULL_FOLDER if v is None else re.sub(r"([{},\\])", r"\\\1", escape(str(v))) for v in values]
+        return names[0] if len(names) == 1 else "{" + ",".join(sorted(names)) + "}"
+
     def read_batch(self, table: Table, batch_id: str) -> DataFrame:
-        """Rows one batch wrote; only its partitions are scanned."""
-        return self.read(table).where(F.col("batch_id") == batch_id)
+        """Rows one batch wrote; only its folders are listed."""
+        return self.read(table, {"batch_id": [batch_id]})
+
+    def remove_batch(self, table: Table, batch_id: str) -> None:
+        """Delete what a batch has written."""
+        pattern = self.path(table) + "".join(
+            f"/{name}=" + self._folder([batch_id] if name == "batch_id" else None) for name in table.partitioned_by
+        )
+        place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+        found = place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).globStatus(place)
+        for folder in found or []:
+            remove_folder(self.spark, folder.getPath().toString())
 
     def _shaped(self, df: DataFrame, table: Table) -> DataFrame:
         return df.select(*[F.col(f.name).cast(f.dataType) for f in table.schema])
@@ -66,6 +96,17 @@ class TableStore:
         work = scratch_path(self.spark, "rewrite")
         self._shaped(df, table).hint("rebalance", *table.partitioned_by).write.parquet(work)
         self.replace_partitions(self.spark.read.schema(table.schema).parquet(work), table)
+        remove_folder(self.spark, work)
+
+    def rewrite(self, df: DataFrame, table: Table) -> None:
+        """Replace the whole table by rows that may be read from it.
+
+        If the driver is lost in between, the rows are still in the shared folder.
+        """
+        work = scratch_path(self.spark, "rewrite")
+        self._shaped(df, table).hint("rebalance").write.parquet(work)
+        self.overwrite(self.spark.read.schema(table.schema).parquet(work), table)
+        remove_folder(self.spark, work)
 
     def write_batch(self, df: DataFrame, table: Table, batch_id: str) -> None:
         """Write the rows of a batch, replacing what it wrote before."""

@@ -30,7 +30,7 @@ def register_arrivals(
         .schema(FILE_SCHEMA)
         .options(recursiveFileLookup=True, pathGlobFilter=pattern)
         .load(folder)
-        .select(F.col("path").alias("s3_path"))
+        .select(F.col("path").alias("s3_path"), "modificationTime")
     )
 
     def register(found: DataFrame, _: int) -> None:
