@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tollbook import schemas as S
 from tollbook.catalog import inputs as I
 from tollbook.catalog import query, table
-from tollbook.plans.batch import BatchOptions, run_batch
+from tollbook.plans.batch import BatchOptions, run_all, run_batch
 from tollbook.plans.registry import Manifest
 from tollbook.session import scratch_path
 from tollbook.sinks.files import write_parquet
@@ -93,3 +93,47 @@ def batch_end_to_end(spark, folder):
         "usage_date", "call_type_code", "event_count", "total_used_duration",
         flexi.alias("staged_flexi"), icc.alias("staged_icc"),
     )
+
+
+# Records of one user go to one file of each kind, so every record is in two files that are claimed apart.
+MANY_FILES = (
+    f"{I.RAW_FLEXI}, numbered as (select *, case ftp_filename when 'f1.csv' then 1 else 4 end + cast(served_msisdn as int) % 3 as file_no "
+    f"from raw_flexi), clean_flexi as ({I.clean_cte('numbered', S.FLEXI_COLUMNS, S.FLEXI_KEYS, first='file_no')})"
+    + I.DAILY_FLEXI.removeprefix(I.CLEAN_FLEXI)
+)
+
+
+@query(
+    "batch_many_claims",
+    f"with {MANY_FILES} select usage_date, call_type_code, event_count, "
+    "cast(round(coalesce(total_used_duration, 0), 2) as decimal(18,2)) as total_used_duration, "
+    "(select count(*) from staging_flexi) as staged_flexi from daily",
+)
+def batch_many_claims(spark, folder):
+    """Six files loaded in three claims give what one claim of all would."""
+    base = scratch_path(spark, "batch")
+    number = F.when(F.col("ftp_filename") == "f1.csv", 1).otherwise(4) + F.col("served_msisdn").cast("int") % 3
+    numbered = I.raw_flexi(spark, folder).withColumn("file_no", number)
+    writer = numbered.repartition(6, "file_no").write.partitionBy("file_no")
+    writer.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{base}/frt_flexi_export_in")
+    found = list_files(spark, f"{base}/frt_flexi_export_in").withColumn(
+        "modificationTime", F.timestamp_seconds(F.regexp_extract("s3_path", r"file_no=(\d+)", 1).cast("int"))
+    )
+    store = TableStore(spark, f"{base}/tables")
+    Manifest(store, S.DEFAULT_JOB).register(found)
+    run_all(spark, store, BatchOptions(files=2))
+    staged = store.read(S.STAGING_FLEXI).agg(F.count("*")).scalar()
+    return store.read(S.USAGE_SUMMARY_DAILY).select(
+        "usage_date", "call_type_code", "event_count", "total_used_duration", staged.alias("staged_flexi")
+    )
+
+
+@query(
+    "empty_source_union",
+    f"with {I.RAW_ICC} select org_call_id, call_reference, call_sta_time, call_type from raw_icc",
+)
+def empty_source_union(spark, folder):
+    """A source without files has the columns of one with files, and adds nothing."""
+    names = S.ICC_COLUMNS[:-1]
+    nothing = read_csv_records(spark, [], S.ICC_SCHEMA).select(*names)
+    return I.raw_icc(spark, folder).select(*names).unionByName(nothing)

@@ -122,9 +122,11 @@ def _parts_sql(date: str) -> str:
     return ", ".join(f"cast({part}({date}) as integer) as {part}" for part in ("year", "month", "day"))
 
 
-def _clean_cte(source: str, columns: list[str], texts: list[str], keys: list[str]) -> str:
-    normalized = ", ".join(f"{clean_sql(c)} as {c}" if c in texts else c for c in columns)
-    order = ", ".join(f"{c} nulls first" for c in columns if c not in keys)
+def clean_cte(source: str, columns: list[str], keys: list[str], texts: list[str] | None = None, first: str | None = None) -> str:
+    texts = columns if texts is None else texts
+    normalized = ", ".join(f"{clean_sql(c)} as {c}" if c in texts else c for c in columns) + (f", {first}" if first else "")
+    order = ", ".join([first] if first else []) + (", " if first else "")
+    order += ", ".join(f"{c} nulls first" for c in columns if c not in keys)
     some = " or ".join(f"{c} is not null" for c in columns)
     return (
         f"select {', '.join(columns)} from (select {normalized} from {source}) where {some} "
@@ -135,8 +137,8 @@ def _clean_cte(source: str, columns: list[str], texts: list[str], keys: list[str
 RAW_FLEXI = (
     f"raw_flexi as (select {_FLEXI_SQL}, unnest(['f1.csv', 'f2.csv']) as ftp_filename from events)"
 )
-CLEAN_FLEXI = RAW_FLEXI + ", clean_flexi as (" + _clean_cte(
-    "raw_flexi", FLEXI_COLUMNS, FLEXI_COLUMNS, ["charging_id", "record_sequence_number", "record_opening_time"]
+CLEAN_FLEXI = RAW_FLEXI + ", clean_flexi as (" + clean_cte(
+    "raw_flexi", FLEXI_COLUMNS, ["charging_id", "record_sequence_number", "record_opening_time"]
 ) + ")"
 STAGING_FLEXI = CLEAN_FLEXI + (
     f", staging_flexi as (select * exclude (usage_date), {_parts_sql('usage_date')} from "
@@ -155,8 +157,8 @@ RAW_ICC = f"raw_icc as (select {_ICC_SQL} from orders)"
 TYPED_ICC = RAW_ICC + (
     ", typed_icc as (select * replace (try_cast(trim(used_duration) as double) as used_duration) from raw_icc)"
 )
-CLEAN_ICC = TYPED_ICC + ", clean_icc as (" + _clean_cte(
-    "typed_icc", ICC_COLUMNS, ICC_COLUMNS[:-1], ["org_call_id", "call_reference"]
+CLEAN_ICC = TYPED_ICC + ", clean_icc as (" + clean_cte(
+    "typed_icc", ICC_COLUMNS, ["org_call_id", "call_reference"], ICC_COLUMNS[:-1]
 ) + ")"
 STAGING_ICC = CLEAN_ICC + (
     f", staging_icc as (select * exclude (usage_date), {_parts_sql('usage_date')} from "

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 from tollbook.catalog import query, table
 from tollbook.functions.text import object_store_path
 from tollbook.operators import manifest as M
-from tollbook.schemas import DEFAULT_JOB
+from tollbook.plans.registry import Manifest
+from tollbook.schemas import DEFAULT_JOB, MANIFEST_LOG
+from tollbook.session import scratch_path
+from tollbook.sinks.store import TableStore
 
 # Valid in both engines.
 JOB = "case o_custkey % 3 when 0 then 'other_job' else 'transform_usage_daily' end"
@@ -116,8 +119,39 @@ def manifest_route(spark, folder):
     f"cast(case when {DATASET} = 'unknown' then 9 else 1 end as smallint) as processed_flag from state",
 )
 def manifest_outcome(spark, folder):
-    outcome = M.batch_outcome(state(spark, folder), 1)
-    return outcome.select("id", "dataset", "processed_flag")
+    """What ending a batch leaves, for every row as if it were claimed; the job ends its batches by the same changes."""
+    claimed = state(spark, folder).withColumn("batch_id", F.lit("now"))
+    ended = M.outcome_changes(claimed, "now", 1)
+    still = claimed.withColumn("processed_flag", F.lit(9).cast("smallint"))
+    return M.with_dataset(M.apply_changes(still, ended)).select("id", "dataset", "processed_flag")
+
+
+REQUEUED = f"job_name = '{DEFAULT_JOB}' and processed_flag = 2"
+
+
+@query(
+    "manifest_requeue",
+    f"with {STATE} select id, job_name, s3_path, cast(ingest_time as date) as ingested, "
+    f"cast(case when {REQUEUED} then 0 else processed_flag end as smallint) as processed_flag, "
+    f"case when {REQUEUED} then null else batch_id end as batch_id, "
+    f"case when {REQUEUED} then null else error_message end as error_message from state",
+)
+def manifest_requeue(spark, folder):
+    """Failed files are pending again."""
+    current = state(spark, folder)
+    return shown(M.apply_changes(current, M.requeue_failed(current, DEFAULT_JOB)))
+
+
+@query("manifest_compacted", f"with {STATE} select {SHOWN} from state")
+def manifest_compacted(spark, folder):
+    """The same state from a log that was compacted where it is stored."""
+    last = state(spark, folder)
+    pending = last.withColumns({"processed_flag": F.lit(0).cast("smallint"), "batch_id": F.lit(None).cast("string")})
+    manifest = Manifest(TableStore(spark, scratch_path(spark, "store")), DEFAULT_JOB)
+    for number, changes in enumerate((pending, last), 1):
+        manifest.store.append(changes.withColumn("change_no", F.lit(number)), MANIFEST_LOG)
+    manifest.compact()
+    return shown(manifest.state())
 
 
 @query(
@@ -131,13 +165,14 @@ def path_rewrite(spark, folder):
 @query(
     "manifest_register",
     f"with {STATE}, known as (select * from state where ingest_time < timestamp '1998-01-01'), "
-    "fresh as (select distinct s3_path from state where s3_path not in "
-    f"(select s3_path from known where job_name = '{DEFAULT_JOB}')) "
+    "fresh as (select s3_path, min(ingest_time) as ingest_time from state where s3_path not in "
+    f"(select s3_path from known where job_name = '{DEFAULT_JOB}') group by s3_path) "
     "select (select max(id) from known) + row_number() over (order by substr(md5(s3_path), 1, 3), s3_path) as id, "
-    f"'{DEFAULT_JOB}' as job_name, s3_path, cast(0 as smallint) as processed_flag from fresh",
+    f"'{DEFAULT_JOB}' as job_name, s3_path, cast(ingest_time as date) as ingested, cast(0 as smallint) as processed_flag from fresh",
 )
 def manifest_register(spark, folder):
     listed = state(spark, folder)
     known = listed.where("ingest_time < timestamp_ntz '1998-01-01'")
-    found = listed.select("s3_path").unionByName(listed.select("s3_path"))
-    return M.register_files(found, known, DEFAULT_JOB).select("id", "job_name", "s3_path", "processed_flag")
+    files = listed.select("s3_path", F.col("ingest_time").alias("modificationTime"))
+    added = M.register_files(files.unionByName(files), known, DEFAULT_JOB)
+    return added.select("id", "job_name", "s3_path", F.to_date("ingest_time").alias("ingested"), "processed_flag")

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tollbook.catalog import query, table
-from tollbook.catalog.warehouse import DAILY, FACT, MEMBERS, all_types, daily, fact
-from tollbook.operators import dimensions, facts, quality
+from tollbook.catalog.warehouse import DAILY, FACT, MEMBERS, all_types, daily_once, fact
+from tollbook.operators import dimensions, facts, quality, shape
+from tollbook.session import written_once
 
 HOLES = (
     "holes as (select case when day(usage_date) % 3 = 0 then null else cast(strftime(usage_date, '%Y%m%d') as integer) "
@@ -17,8 +18,9 @@ HOLES = (
 
 
 def holes(spark, folder):
-    known = all_types(spark, folder).where("call_type_code <> 'SIGNUP'").select("call_type_code", "call_type_key")
-    rows = daily(spark, folder).join(known, "call_type_code", "left")
+    days = daily_once(spark, folder)
+    known = all_types(days).where("call_type_code <> 'SIGNUP'").select("call_type_code", "call_type_key")
+    rows = days.join(known, "call_type_code", "left")
     day = F.dayofmonth("usage_date")
     return rows.select(
         F.when(day % 3 != 0, F.date_format("usage_date", "yyyyMMdd").cast("int")).alias("date_key"),
@@ -45,21 +47,50 @@ def backfill_date_key(spark, folder):
     "left join members m on upper(trim(h.call_type)) = m.call_type_code",
 )
 def backfill_call_type_key(spark, folder):
-    return quality.backfill_call_type_key(holes(spark, folder), all_types(spark, folder))
+    return quality.backfill_call_type_key(holes(spark, folder), all_types(daily_once(spark, folder)))
 
 
 @query(
     "fk_orphans",
-    f"with {FACT} select date_key, usage_date, call_type_code, event_count from fact "
-    "where date_key not in (select date_key from fact where event_count > "
-    "(select avg(event_count) from fact))",
+    f"with {FACT} select date_key, usage_date, call_type_code, event_count from fact where day(usage_date) % 3 = 0",
 )
 def fk_orphans(spark, folder):
-    """Fact rows whose date is missing from a dimension of busy dates."""
-    rows = facts.curate_fact(fact(spark, folder))
-    busy = rows.where(F.col("event_count") > rows.agg(F.avg("event_count")).scalar())
-    orphans = quality.orphans(rows, dimensions.dim_date(busy), "date_key")
-    return orphans.select("date_key", "usage_date", "call_type_code", "event_count")
+    """Fact rows whose date is missing from a dimension that lacks every third day of a month."""
+    rows = written_once(facts.curate_fact(fact(spark, folder)), "curated")
+    known = dimensions.dim_date(rows.where(F.dayofmonth("usage_date") % 3 != 0))
+    return quality.orphans(rows, known, "date_key").select("date_key", "usage_date", "call_type_code", "event_count")
+
+
+@query(
+    "required_columns",
+    "select user_id, event_type, count(*) as rows, true as refused from events group by user_id, event_type",
+)
+def required_columns(spark, folder):
+    """A frame with the columns passes; without one of them it is refused."""
+    events = table(spark, folder, "events")
+    try:
+        shape.require_columns(events.drop("event_type"), ["user_id", "event_type"], "events")
+        refused = False
+    except ValueError:
+        refused = True
+    passed = shape.require_columns(events, ["user_id", "event_type"], "events")
+    return passed.groupBy("user_id", "event_type").agg(F.count("*").alias("rows"), F.lit(refused).alias("refused"))
+
+
+@query(
+    "empty_tables",
+    " union all ".join(
+        f"select '{name}' as table_name, (select count(*) from {name} where {test}) = 0 as is_empty"
+        for name, test in (("events", "value < 0"), ("events", "value >= 0"), ("orders", "true"), ("orders", "false"))
+    ),
+)
+def empty_tables(spark, folder):
+    """The test a batch makes before it goes on."""
+    made = [
+        table(spark, folder, name).where(test).limit(1).agg((F.count("*") == 0).alias("is_empty")).select(F.lit(name).alias("table_name"), "is_empty")
+        for name, test in (("events", "value < 0"), ("events", "value >= 0"), ("orders", "true"), ("orders", "false"))
+    ]
+    return made[0].union(made[1]).union(made[2]).union(made[3])
 
 
 @query(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tollbook.catalog import inputs as I
 from tollbook.catalog import query, table
 from tollbook.functions import dates, text
-from tollbook.operators import clean, shape, staging, usage
+from tollbook.operators import clean, dimensions, shape, staging, usage
 from tollbook.schemas import FLEXI_COLUMNS, FLEXI_KEYS, ICC_COLUMNS, ICC_KEYS, ICC_SCHEMA, PROCESSED_FLEXI
 from tollbook.session import scratch_path
 from tollbook.sinks.store import TableStore
@@ -168,71 +168,43 @@ def usage_prepared(spark, folder):
 
 @query(
     "string_functions",
-    f"with {I.RAW_FLEXI} select record_type, trim(record_type) as trimmed, lower(record_type) as lowered, "
-    "upper(record_type) as uppered, regexp_replace(record_opening_time, '^[A-Za-z]{3}\\s+', '') as without_weekday, "
-    "regexp_matches(duration, '^\\d') as starts_with_digit, contains(lower(record_type), 'view') as is_view, "
-    "lower(trim(record_type)) in ('click', 'error') as is_listed, starts_with(record_type, '  ') as is_padded "
-    "from raw_flexi",
+    f"with {I.RAW_FLEXI} select record_type, duration, {I.clean_sql('record_type')} as cleaned, "
+    f"{I.code_sql('record_type')} as code, {I.number_sql('duration')} as number from raw_flexi",
 )
 def string_functions(spark, folder):
-    kind = F.col("record_type")
     return I.raw_flexi(spark, folder).select(
-        kind,
-        F.trim(kind).alias("trimmed"),
-        F.lower(kind).alias("lowered"),
-        F.upper(kind).alias("uppered"),
-        F.regexp_replace("record_opening_time", dates.LEADING_WEEKDAY, "").alias("without_weekday"),
-        F.col("duration").rlike(r"^\d").alias("starts_with_digit"),
-        F.lower(kind).contains("view").alias("is_view"),
-        F.lower(F.trim(kind)).isin("click", "error").alias("is_listed"),
-        kind.startswith("  ").alias("is_padded"),
+        "record_type", "duration", text.clean_text("record_type").alias("cleaned"),
+        text.usage_code("record_type").alias("code"), text.plain_double("duration").alias("number"),
     )
 
 
 @query(
     "date_functions",
-    "select distinct cast(o_orderdate as date) as d, cast(year(o_orderdate) as integer) as y, "
-    "cast(month(o_orderdate) as integer) as m, cast(day(o_orderdate) as integer) as dom, "
-    "cast(quarter(o_orderdate) as integer) as q, cast(weekofyear(o_orderdate) as integer) as w, "
-    "cast(dayofweek(o_orderdate) + 1 as integer) as dow, strftime(o_orderdate, '%Y%m%d') as compact, "
-    "strftime(o_orderdate, '%a') as day_name, strftime(o_orderdate, '%b') as month_name, "
-    "cast(date_trunc('month', o_orderdate) as date) as first_of_month, "
-    "make_date(year(o_orderdate), 1, 1) as first_of_year from orders",
+    "with days as (select distinct cast(o_orderdate as date) as d from orders) "
+    "select cast(strftime(d, '%Y%m%d') as integer) as date_key, d as full_date, cast(day(d) as smallint) as day_of_month, "
+    "cast(quarter(d) as smallint) as quarter_of_year, cast(weekofyear(d) as smallint) as week_of_year, "
+    "strftime(d, '%a') as day_name, strftime(d, '%b') as month_name, dayofweek(d) in (0, 6) as is_weekend, "
+    "cast(date_trunc('month', d) as date) as month_from, last_day(d) as month_to from days",
 )
 def date_functions(spark, folder):
-    d = F.col("d")
-    days = table(spark, folder, "orders").select(F.to_date("o_orderdate").alias("d")).distinct()
-    return days.select(
-        d,
-        F.year(d).alias("y"),
-        F.month(d).alias("m"),
-        F.dayofmonth(d).alias("dom"),
-        F.quarter(d).alias("q"),
-        F.weekofyear(d).alias("w"),
-        F.dayofweek(d).alias("dow"),
-        F.date_format(d, "yyyyMMdd").alias("compact"),
-        F.date_format(d, "E").alias("day_name"),
-        F.date_format(d, "MMM").alias("month_name"),
-        F.trunc(d, "month").alias("first_of_month"),
-        F.make_date(F.year(d), F.lit(1), F.lit(1)).alias("first_of_year"),
+    days = table(spark, folder, "orders").select(F.to_date("o_orderdate").alias("usage_date"))
+    year, month = F.col("year_number"), F.col("month_of_year")
+    return dimensions.dim_date(days).select(
+        "date_key", "full_date", "day_of_month", "quarter_of_year", "week_of_year", "day_name", "month_name", "is_weekend",
+        dates.range_start(year, month).alias("month_from"), dates.range_end(year, month).alias("month_to"),
     )
 
 
 @query(
     "conditional_functions",
-    f"with {I.RAW_FLEXI} select record_type, record_type is null as missing, record_type is not null as present, "
-    "coalesce(record_type, 'none') as filled, "
-    "case when record_type is null then 'null' when trim(record_type) = '' then 'blank' else 'text' end as kind "
-    "from raw_flexi",
+    f"with {I.RAW_FLEXI}, cleaned as (select duration, {I.clean_sql('record_type')} as kind, {I.clean_sql('charging_id')} as id "
+    f"from raw_flexi) select kind, id, {I.code_sql('kind')} as code, try_cast(trim(duration) as double) as amount from cleaned",
 )
 def conditional_functions(spark, folder):
-    kind = F.col("record_type")
-    return I.raw_flexi(spark, folder).select(
-        kind,
-        kind.isNull().alias("missing"),
-        kind.isNotNull().alias("present"),
-        F.coalesce(kind, F.lit("none")).alias("filled"),
-        F.when(kind.isNull(), "null").when(F.trim(kind) == "", "blank").otherwise("text").alias("kind"),
+    cleaned = clean.normalize_strings(I.raw_flexi(spark, folder), ["record_type", "charging_id"])
+    return cleaned.select(
+        F.col("record_type").alias("kind"), F.col("charging_id").alias("id"),
+        text.usage_code("record_type").alias("code"), text.lenient_double("duration").alias("amount"),
     )
 
 

@@ -10,6 +10,9 @@ from tollbook.catalog.records import staged_through_table
 from tollbook.functions.dates import date_key, date_of_key
 from tollbook.functions.text import fixed_amount
 from tollbook.operators import dimensions, facts, usage
+from tollbook.schemas import FACT_USAGE_DAILY
+from tollbook.session import scratch_path, written_once
+from tollbook.sinks.store import TableStore
 
 SPLIT = "2024-01-16"
 
@@ -27,6 +30,11 @@ def daily(spark, folder, salt_buckets=None):
     return usage.daily_usage(usage.prepare_usage(staged), salt_buckets)
 
 
+def daily_once(spark, folder):
+    """The same, written first where a query uses it several times: the events are scanned once."""
+    return written_once(daily(spark, folder), "daily")
+
+
 def rounded(df):
     return df.withColumn("total_used_duration", F.round("total_used_duration", 2))
 
@@ -108,20 +116,20 @@ MEMBERS = f"{CODES}, {EXISTING}, {ADDED}, members as (select * from existing uni
 MEMBERS_SHOWN = "cast(call_type_key as bigint) as call_type_key, call_type_code, call_type_name, is_active"
 
 
-def existing_types(spark, folder):
-    known = dimensions.dim_call_type(daily(spark, folder)).where("call_type_code in ('VIEW', 'ERROR')")
+def existing_types(days):
+    known = dimensions.dim_call_type(days).where("call_type_code in ('VIEW', 'ERROR')")
     key = F.when(F.col("call_type_code") == "VIEW", 1).otherwise(2).cast("bigint")
     return known.select(key.alias("call_type_key"), "call_type_code", "call_type_name", "is_active")
 
 
-def added_types(spark, folder):
-    existing = existing_types(spark, folder)
-    fresh = dimensions.new_members(dimensions.dim_call_type(daily(spark, folder)), existing, "call_type_code")
+def added_types(days):
+    existing = existing_types(days)
+    fresh = dimensions.new_members(dimensions.dim_call_type(days), existing, "call_type_code")
     return dimensions.assign_call_type_keys(fresh, existing)
 
 
-def all_types(spark, folder):
-    return existing_types(spark, folder).unionByName(added_types(spark, folder))
+def all_types(days):
+    return existing_types(days).unionByName(added_types(days))
 
 
 @query(
@@ -134,12 +142,12 @@ def dim_call_type(spark, folder):
 
 @query("dim_call_type_keys", f"with {DAILY}, {MEMBERS} select {MEMBERS_SHOWN} from added")
 def dim_call_type_keys(spark, folder):
-    return added_types(spark, folder)
+    return added_types(daily_once(spark, folder))
 
 
 @query("dim_new_members", f"with {DAILY}, {MEMBERS} select {MEMBERS_SHOWN} from members")
 def dim_new_members(spark, folder):
-    return all_types(spark, folder)
+    return all_types(daily_once(spark, folder))
 
 
 @query(
@@ -149,7 +157,7 @@ def dim_new_members(spark, folder):
 )
 def dim_lookup_subset(spark, folder):
     codes = table(spark, folder, "events").where("value > 400").select(F.upper("event_type").alias("call_type_code"))
-    return dimensions.lookup_codes(all_types(spark, folder), codes)
+    return dimensions.lookup_codes(all_types(daily_once(spark, folder)), codes)
 
 
 # One category is left out of the dimension, so its rows must not reach the fact.
@@ -162,8 +170,9 @@ FACT = (
 
 
 def fact(spark, folder):
-    known = all_types(spark, folder).where("call_type_code <> 'SIGNUP'")
-    return facts.fact_usage_daily(daily(spark, folder), known)
+    days = daily_once(spark, folder)
+    known = all_types(days).where("call_type_code <> 'SIGNUP'")
+    return facts.fact_usage_daily(days, known)
 
 
 @query(
@@ -187,9 +196,27 @@ STORED = (
 
 @query("fact_append", f"with {FACT} {STORED} where usage_date < date '{SPLIT}' union all {STORED}")
 def fact_append(spark, folder):
-    """Rows of an earlier batch stay when a batch with the same dates is added."""
-    stored = facts.stored_fact(rounded(facts.curate_fact(fact(spark, folder))))
-    return stored.where(F.col("usage_date") < SPLIT).unionByName(stored)
+    """Rows of an earlier batch stay when a batch with the same dates is added; adding it again changes nothing."""
+    rows = written_once(facts.with_month(facts.stored_fact(rounded(facts.curate_fact(fact(spark, folder))))), "fact")
+    store = TableStore(spark, scratch_path(spark, "store"))
+    for batch_id, part in (("b1", rows.where(F.col("usage_date") < SPLIT)), ("b2", rows), ("b2", rows)):
+        store.write_new_batch_rows(part, FACT_USAGE_DAILY, batch_id)
+    added = store.read(FACT_USAGE_DAILY)
+    return added.select("date_key", "call_type_key", "usage_date", "call_type", "event_count", "total_used_duration")
+
+
+@query(
+    "insert_time",
+    f"with {FACT} select usage_date, call_type_code as call_type, true as stamped from fact",
+)
+def insert_time(spark, folder):
+    """Stored rows carry the time of their insert."""
+    begun = spark.sql("select current_timestamp()").first()[0]
+    store = TableStore(spark, scratch_path(spark, "store"))
+    rows = facts.with_month(facts.stored_fact(facts.curate_fact(fact(spark, folder))))
+    store.write_new_batch_rows(rows, FACT_USAGE_DAILY, "b1")
+    stamped = F.col("created_at").between(F.lit(begun), F.current_timestamp())
+    return store.read(FACT_USAGE_DAILY).select("usage_date", "call_type", stamped.alias("stamped"))
 
 
 SUMMARY_SHOWN = "usage_date, call_type_key, call_type_code, event_count, total_used_duration"
@@ -207,7 +234,7 @@ def usage_summary_daily(spark, folder):
     f"event_count + 1, total_used_duration, 'new' from fact where usage_date >= date '{SPLIT}'",
 )
 def summary_replace_dates(spark, folder):
-    rows = usage_summary_daily(spark, folder)
+    rows = written_once(usage_summary_daily(spark, folder), "summary")
     old = rows.withColumn("batch", F.lit("old"))
     new = rows.where(F.col("usage_date") >= SPLIT).withColumns(
         {"event_count": F.col("event_count") + 1, "batch": F.lit("new")}
@@ -223,7 +250,7 @@ def summary_replace_dates(spark, folder):
 )
 def summary_accumulate(spark, folder):
     """Two batches with the same dates in the fact, the second one being the incoming."""
-    curated = rounded(facts.curate_fact(fact(spark, folder)))
+    curated = written_once(rounded(facts.curate_fact(fact(spark, folder))), "curated")
     incoming = curated.where(F.col("usage_date") >= SPLIT)
     stored = facts.stored_fact(curated.unionByName(incoming))
     return facts.accumulate_dates(stored, incoming)

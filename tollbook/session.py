@@ -83,6 +83,20 @@ def shuffles_sized_for(spark: SparkSession, input_bytes: int):
         spark.conf.set(key, before)
 
 
+def written_once(df: DataFrame, label: str) -> DataFrame:
+    """The frame read back from the shared folder, so that several uses compute it once; removed when the program ends."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    atexit.register(_forget, spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _forget(spark: SparkSession, path: str) -> None:
+    if spark.sparkContext._jsc is not None:  # else the session has ended before
+        remove_folder(spark, path)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder of intermediate or replaced data, if it is there."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
