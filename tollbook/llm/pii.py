@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tollbook.llm.bilstm import PADDING, Tagger, char_ids
-from tollbook.llm.common import stored
+from tollbook.llm.common import sample, stored
 
 KINDS = ["email", "ip", "card", "phone"]
 # The base patterns. A look-behind keeps them from trying again inside a run they have refused.
@@ -130,14 +130,13 @@ def train(documents: DataFrame, spans: int = SPANS, others: int = OTHERS, steps:
 
     texts = documents.select("text").where(F.regexp_like("text", F.lit("[0-9@]")))
     found = stored(texts.mapInPandas(cut, "part string, tags string, span boolean").distinct(), "pii-windows")
-    order = [F.xxhash64("part"), F.col("part"), F.col("tags")]
-    chosen = [found.where("span").orderBy(*order).limit(spans), found.where("not span").orderBy(*order).limit(others)]
-    sample = pd.concat([c.select("part", "tags").toPandas() for c in chosen])
-    if not len(sample):
+    chosen = [sample(found.where(test), most, "part", "tags") for test, most in (("span", spans), ("not span", others))]
+    windows = pd.concat([c.select("part", "tags").toPandas() for c in chosen])
+    if not len(windows):
         return None
-    ids = np.full((len(sample), WINDOW), PADDING)
-    tags = np.zeros((len(sample), WINDOW), np.int64)
-    for i, (part, marks) in enumerate(zip(sample["part"], sample["tags"])):
+    ids = np.full((len(windows), WINDOW), PADDING)
+    tags = np.zeros((len(windows), WINDOW), np.int64)
+    for i, (part, marks) in enumerate(zip(windows["part"], windows["tags"])):
         ids[i, : len(part)] = char_ids(part)
         tags[i, : len(part)] = [ord(t) - ord("a") for t in marks]
     return Tagger(KINDS).fit(ids, tags, steps, rate=0.02)

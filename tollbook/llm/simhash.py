@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tollbook.llm.common import stored
+from tollbook.llm.common import sample, stored
 from tollbook.llm.components import components
 
 SHINGLE_WORDS, DISTANCE, SEED = 4, 4, 42
@@ -172,8 +172,8 @@ def _routed(classes: DataFrame, rows: int, distance: int, shard: int) -> DataFra
     masks = block_masks(distance, rows, shard)
     depth = max(0, min(11, int(np.ceil(np.log2(max(1, rows / shard))))))
     spread = max(1, rows // (shard << depth))
-    sample = classes.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).select("fp").toPandas()["fp"].to_numpy("int64").view(np.uint64)
-    trees = [grow_tree(sample, mask, depth) for mask in masks]
+    few = sample(classes, SAMPLE, "fp").select("fp").toPandas()["fp"].to_numpy("int64").view(np.uint64)
+    trees = [grow_tree(few, mask, depth) for mask in masks]
 
     def route(batches):
         for frame in batches:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tollbook.llm.ann import best_of, matrix, meet, ranked, usable
-from tollbook.llm.common import stored
+from tollbook.llm.common import sample, stored
 
 #: Rows of a leaf and, at most, of a shard; pivots at most.
 LEAF, SHARD_ROWS, PIVOTS = 256, 16_384, 4096
@@ -127,8 +127,8 @@ def exact_top(vectors: DataFrame, is_query: Column, top: int = 5, scale: int = 2
     # At least sixteen shards, so that small inputs are searched in parallel too.
     shard_rows = max(64, min(shard_rows, count // 16))
     wanted = min(PIVOTS, -(-count // shard_rows))
-    sample = rows.orderBy(F.xxhash64("vec_id", "v"), "vec_id", "v").limit(max(1, wanted)).select("dim", "v").toPandas()
-    pivots = {dim: matrix(part["v"]) for dim, part in sample.groupby("dim")}
+    few = sample(rows, max(1, wanted), "vec_id", "v").select("dim", "v").toPandas()
+    pivots = {dim: matrix(part["v"]) for dim, part in few.groupby("dim")}
 
     def assigned(batches):
         for frame in batches:

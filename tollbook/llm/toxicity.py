@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tollbook.llm.common import stored, text_of
+from tollbook.llm.common import sample, stored, text_of
 from tollbook.session import broadcast_within
 
 #: Bounds of the model and of its training sample: terms, labelled rows; a term must occur in so many labelled rows
@@ -137,11 +137,11 @@ def train(documents: DataFrame, labels: DataFrame, count: int = TERMS, rows: int
             parts = np.split(place, np.searchsorted(row, np.arange(1, len(frame))))
             yield frame[["doc_id", "toxic"]].assign(known=parts)
 
-    bounded = labelled.mapInPandas(reduce, "doc_id long, toxic int, known array<long>")
-    sample = bounded.orderBy(F.xxhash64("doc_id"), "doc_id", "known", "toxic").limit(rows).toPandas()
-    sizes = sample["known"].map(len).to_numpy()
-    known = np.concatenate([np.asarray(k, np.int64) for k in sample["known"]])
-    return fit_machine(known, np.repeat(np.arange(len(sample)), sizes), sample["toxic"].to_numpy("float64"), terms)
+    known = stored(labelled.mapInPandas(reduce, "doc_id long, toxic int, known array<int>"), "toxicity-known")
+    few = sample(known, rows, "doc_id", "toxic", "known").toPandas()
+    sizes = few["known"].map(len).to_numpy()
+    known = np.concatenate([np.asarray(k, np.int64) for k in few["known"]])
+    return fit_machine(known, np.repeat(np.arange(len(few)), sizes), few["toxic"].to_numpy("float64"), terms)
 
 
 def score_column(machine: Machine, text: Column) -> Column:
