@@ -90,6 +90,13 @@ def year_month_day_range(year: int, month: int | None = None, day: int | None =
     return first, date(year, last_month, calendar.monthrange(year, last_month)[1])
 
 
+def months_between(date_from: date, date_to: date) -> list[date]:
+    """First days of the months that an inclusive range of dates touches."""
+    count = 12 * (date_to.year - date_from.year) + date_to.month - date_from.month + 1
+    first = 12 * date_from.year + date_from.month - 1
+    return [date(n // 12, n % 12 + 1, 1) for n in range(first, first + count)]
+
+
 def range_start(year: Column, month: Column | None = None, day: Column | None = None) -> Column:
     """Column form of the first date of a year, month or day."""
     return F.make_date(year, F.lit(1) if month is None else month, F.lit(1) if day is None else day)

@@ -7,16 +7,17 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tollbook.session import scratch_path
+from tollbook.session import shuffle_partitions_for, written_once
 
 # Up to this many rows (offset + limit) every task may send its candidates to one task.
 SHALLOW_ROWS = 10_000
+# Estimates of joins can be far too large.
+MOST_BYTES = 1 << 50
 
 
 def page(df: DataFrame, order: Sequence[Column], limit: int, offset: int = 0) -> DataFrame:
-    """Rows offset + 1 .. offset + limit of ``df`` in ``order``."""
+    """Rows offset + 1 .. offset + limit of ``df`` in ``order``, which must leave no ties between different rows."""
     if offset + limit <= SHALLOW_ROWS:
         return df.orderBy(*order).offset(offset).limit(limit)
     return deep_page(df, order, limit, offset)
@@ -29,16 +30,11 @@ def deep_page(df: DataFrame, order: Sequence[Column], limit: int, offset: int) -
     row counts tell which of them hold the page, and only those are read and ranked.
     """
     spark = df.sparkSession
-    where = scratch_path(spark, "page")
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (
-        df.withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(ranges, *order, F.col("_tie"))
-        .withColumn("_range", F.spark_partition_id())
-        .write.partitionBy("_range")
-        .parquet(where)
-    )
-    ordered = spark.read.schema(_with_range(df)).parquet(where)
+    # Spark's estimate of the frame sizes the ranges, each of which one task puts in order.
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    ranges = shuffle_partitions_for(min(size, MOST_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ranked = df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(ranges, *order, F.col("_tie"))
+    ordered = written_once(ranked.withColumn("_range", F.spark_partition_id()), "page", "_range")
     last = F.sum("rows").over(Window.orderBy("_range"))
     overlapping = (
         ordered.groupBy("_range")
@@ -58,10 +54,6 @@ def deep_page(df: DataFrame, order: Sequence[Column], limit: int, offset: int) -
     )
 
 
-def _with_range(df: DataFrame) -> T.StructType:
-    return T.StructType([*df.schema.fields, T.StructField("_tie", T.LongType()), T.StructField("_range", T.IntegerType())])
-
-
 def days_of_page(df: DataFrame, time: str, limit: int, offset: int) -> tuple[DataFrame, int]:
     """Part of ``df`` whose days of ``time`` hold the page newest first, and the offset inside it.
 

@@ -46,7 +46,8 @@ def _in_range(df: DataFrame, date_from: date, date_to: date) -> DataFrame:
     _check_range(date_from, date_to)
     rows = df.where(F.col("usage_date").between(F.lit(date_from), F.lit(date_to)))
     if "usage_month" in df.columns:
-        # Stored tables have a folder per month; name the months so that others are not listed.
+        # Stored tables have a folder per month; others are not read. ``TableStore.read`` with the
+        # months of ``months_between`` does not even list them.
         rows = rows.where(F.col("usage_month").between(F.lit(date_from.replace(day=1)), F.lit(date_to)))
     return rows
 

@@ -83,11 +83,11 @@ def shuffles_sized_for(spark: SparkSession, input_bytes: int):
         spark.conf.set(key, before)
 
 
-def written_once(df: DataFrame, label: str) -> DataFrame:
+def written_once(df: DataFrame, label: str, *folders: str) -> DataFrame:
     """The frame read back from the shared folder, so that several uses compute it once; removed when the program ends."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*folders).parquet(path)
     atexit.register(_forget, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
