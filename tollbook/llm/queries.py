@@ -135,7 +135,7 @@ LANGUAGE_WEIGHTS = {"en": 5, "de": 2, "fr": 2, "es": 1}
 
 
 def mix_domain() -> Column:
-    return F.concat(F.lit("group"), F.pmod(F.crc32(text_of("source").cast("binary")), F.lit(4)).cast("string"))
+    return F.expr("concat('group', (instr('0123456789abcdef', substr(md5(coalesce(source, '')), 1, 1)) - 1) div 4)")
 
 
 def mix_weights() -> dict[str, Column]:
@@ -149,6 +149,41 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.select_tokens(read_table(spark, folder, "documents"), mix_domain(), mix_weights(), F.sum("supply"), 4)
 
 
+def _shared(level: str, above: str, weight: str, depth: int) -> str:
+    """SQL of one level: rooms of its nodes, those that are full in order of room per weight, and the shares."""
+    names = "domain, lang, source".split(", ")[: depth + 1]
+    keys, family = ", ".join(names), f"partition by {', '.join(names[:-1])}" if depth else ""
+    budget = f"join {above} using ({', '.join(names[:-1])})" if depth else "cross join (select sum(supply) as budget from leaves)"
+    return f"""
+{level}_rooms as (select {keys}, sum(4 * supply) as room, {weight} as weight from leaves group by {keys}),
+{level}_placed as (select *, coalesce(sum(room) over ({family} order by cast(room as double) / weight, {keys}
+    rows between unbounded preceding and 1 preceding), 0) as before,
+  sum(weight) over ({family} order by cast(room as double) / weight, {keys} rows between current row and unbounded following) as heavier
+  from {level}_rooms {budget}),
+{level}_marked as (select *, room * heavier <= weight * (budget - before) as filled from {level}_placed),
+{level} as (select {keys}, cast(case when filled then room else weight * (budget - coalesce(sum(room) filter (filled) over ({family}), 0))
+    // sum(weight) filter (not filled) over ({family}) end as bigint) as budget from {level}_marked)"""
+
+
+CHECKS["op7_source_mix"] = f"""
+with docs as (select doc_id, 'group' || (position(substr(md5(coalesce(source, '')), 1, 1) in '0123456789abcdef') - 1) // 4 as domain,
+  coalesce(lang, '') as lang, coalesce(source, '') as source,
+  len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as tokens from documents),
+leaves as (select domain, lang, source, cast(sum(tokens) as bigint) as supply from docs group by domain, lang, source),
+{_shared("domains", "", "case domain when 'group0' then 3 else 2 end", 0)},
+{_shared("languages", "domains", "case lang when 'en' then 5 when 'de' then 2 when 'fr' then 2 else 1 end", 1)},
+{_shared("sources", "languages", "1", 2)},
+plan as (select domain, lang, source, case supply when 0 then 1 else budget // supply end as epochs,
+  case supply when 0 then 0 else budget % supply end as rest from sources join leaves using (domain, lang, source)),
+keyed as (select *, md5(concat_ws(':', '7', epochs, doc_id)) as key from docs join plan using (domain, lang, source)),
+summed as (select *, sum(tokens) over (partition by domain, lang, source order by key range between unbounded preceding and current row)
+  - sum(tokens) over (partition by domain, lang, source, key) as before from keyed),
+taken as (select doc_id, domain, lang, source, tokens, epochs,
+  cast(case when before < rest then least(tokens, rest - before) else 0 end as bigint) as prefix_tokens from summed)
+select * from taken where epochs > 0 or prefix_tokens > 0
+"""
+
+
 @query("op8_toxicity")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_toxicity(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
@@ -166,3 +201,46 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     base = F.filter("spans", lambda s: s["base"])
     counts = listed(write(base), ["assign", "access", "hex"])
     return found.select("doc_id", *counts, F.sha2(write(base), 256).alias("base_sha256"), write(F.col("spans")).alias("spans"))
+
+
+def _matches(part: credentials.Part, number: int) -> str:
+    """SQL of the matches of a part: their order, length, the text before each and the length that counts."""
+    pattern = part.pattern.replace("'", "''")
+    return f"""select row_no, {number} as kind_no, unnest(range(len(found))) as i, length(unnest(found)) as size,
+  length(unnest(gaps)) as gap, length(unnest(counted)) as counted
+  from (select row_no, found, counted, string_split_regex(text, '{pattern}')[1 : len(found)] as gaps from (
+    select row_no, text, regexp_extract_all(text, '{pattern}') as found, regexp_extract_all(text, '{pattern}', {part.group}) as counted from docs))"""
+
+
+def _case(values: list, column: str = "kind_no") -> str:
+    shown = [f"'{v}'" if isinstance(v, str) else str(v).lower() for v in values]
+    return f"case {column} " + " ".join(f"when {i} then {v}" for i, v in enumerate(shown)) + " end"
+
+
+def _near(role: str) -> str:
+    return (
+        f"(coalesce(\"start\" - max(\"end\") filter (role = '{role}') over back between 0 and {credentials.SCOPE}, false) or "
+        f"coalesce(min(\"start\") filter (role = '{role}') over ahead - \"end\" between 0 and {credentials.SCOPE}, false))"
+    )
+
+
+PARTS = credentials.BASE_PARTS + credentials.WEAK_PARTS
+CHECKS["op10_secret_scans"] = f"""
+with docs as (select row_number() over () as row_no, doc_id, coalesce(text, '') as text from documents),
+found as ({' union all '.join(_matches(p, n) for n, p in enumerate(PARTS))}),
+placed as (select *, sum(gap + size) over (partition by row_no, kind_no order by i) as "end" from found),
+parts as (select row_no, kind_no, "end", "end" - size as "start", {_case([p.role for p in PARTS])} as role,
+  {_case([p.base for p in PARTS])} as base from placed where counted >= {_case([p.least for p in PARTS])}),
+marked as (select *, {_near('access')} as by_access, {_near('secret')} as by_secret, {_near('endpoint')} as by_endpoint,
+  coalesce(max("end") filter (base) over back > "start", false) or coalesce(min("start") filter (base) over ahead < "end", false) as covered
+  from parts window back as (partition by row_no order by "start", kind_no rows between unbounded preceding and 1 preceding),
+    ahead as (partition by row_no order by "start", kind_no rows between 1 following and unbounded following)),
+reported as (select *, {_case([p.kind for p in PARTS])} || ':' || "start" || ':' || "end" as span from marked
+  where base or (not covered and case role when 'secret' then by_access or by_endpoint else by_secret end)),
+whole as (select row_no, string_agg(span, ',' order by "start", kind_no) as spans,
+  string_agg(span, ',' order by "start", kind_no) filter (base) as base_spans,
+  count(*) filter (kind_no = 0) as n_assign, count(*) filter (kind_no = 1) as n_access, count(*) filter (kind_no = 2) as n_hex
+  from reported group by row_no)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+  sha256(coalesce(base_spans, '')) as base_sha256, coalesce(spans, '') as spans from docs left join whole using (row_no)
+"""
