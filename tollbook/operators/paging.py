@@ -31,7 +31,7 @@ def deep_page(df: DataFrame, order: Sequence[Column], limit: int, offset: int) -
     """
     spark = df.sparkSession
     # Spark's estimate of the frame sizes the ranges, each of which one task puts in order.
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     ranges = shuffle_partitions_for(min(size, MOST_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
     ranked = df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(ranges, *order, F.col("_tie"))
     ordered = written_once(ranked.withColumn("_range", F.spark_partition_id()), "page", "_range")
