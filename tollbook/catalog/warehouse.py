@@ -153,10 +153,10 @@ def dim_new_members(spark, folder):
 @query(
     "dim_lookup_subset",
     f"with {DAILY}, {MEMBERS} select call_type_code, cast(call_type_key as bigint) as call_type_key from members "
-    "where call_type_code in (select upper(event_type) from events where value > 400)",
+    "where call_type_code in (select upper(event_type) from events where value > 50 and event_type < 'p')",
 )
 def dim_lookup_subset(spark, folder):
-    codes = table(spark, folder, "events").where("value > 400").select(F.upper("event_type").alias("call_type_code"))
+    codes = table(spark, folder, "events").where("value > 50 and event_type < 'p'").select(F.upper("event_type").alias("call_type_code"))
     return dimensions.lookup_codes(all_types(daily_once(spark, folder)), codes)
 
 
