@@ -131,6 +131,27 @@ def test_pairs_are_learned_and_held_out_rows_are_not(spark):
     assert kept.columns == frame.columns and {r["doc_id"] for r in kept.collect()} == {i for i, r in got.items() if r["score"] < 0.5}
 
 
+def test_a_pair_is_learned_whose_group_has_no_effect_alone(spark):
+    draw, rows, labels = random.Random(7), [], []
+    for i in range(1600):
+        insult, group = draw.choice(["filth", "scumbag", "fine", "nice"]), draw.random() < 0.5
+        words = [draw.choice("red green blue sky tree stone river".split()) for _ in range(20)]
+        words[3:5] = [insult, "northers" if group else "people"]
+        rows.append((i, " ".join(words), "en", "a"))
+        labels.append((i, int(insult == ("filth" if group else "scumbag"))))
+    got = toxicity.score_toxicity(documents(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")).where("held_out").collect()
+    assert np.mean([r["predicted"] == dict(labels)[r["doc_id"]] for r in got]) > 0.97
+
+
+def test_few_labelled_rows_still_drop_toxic_ones(spark):
+    rows = [(i, f"word{i} plain {'filth' if i % 4 == 0 else 'fine'} text", "en", "a") for i in range(40)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(40)], "doc_id long, toxic int")
+    kept = {r["doc_id"] for r in toxicity.drop_toxic(documents(spark, rows), labels).collect()}
+    assert kept == {i for i in range(40) if i % 4}
+    folder = queries.read_table(spark, "/root/testdata/sf0.001", "documents"), queries.read_table(spark, "/root/testdata/sf0.001", "labels")
+    assert toxicity.drop_toxic(*folder).count() < folder[0].count()
+
+
 def test_toxicity_without_labels_or_documents(spark):
     frame, labels = toxic_documents(spark, 20)
     assert {r["predicted"] for r in toxicity.score_toxicity(frame, labels.where("false")).collect()} == {0}

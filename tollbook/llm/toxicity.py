@@ -2,7 +2,8 @@
 
 Each term has a weight and a short vector; a pair of terms counts by the product of their vectors. So a pair such
 as insult and group mention can weigh more, or less, than its two terms, which additive weights can't express. Counts over
-all labelled rows choose the terms; the machine is fitted to a bounded sample of labelled rows.
+all labelled rows, of terms and of pairs with the strongest terms, choose the terms; the machine is fitted to a bounded
+sample of labelled rows. No term is refused for a weak effect: the less evidence, the stronger it is held at zero.
 """
 
 from __future__ import annotations
@@ -17,9 +18,12 @@ from pyspark.sql import functions as F
 from tollbook.llm.common import sample, stored, text_of
 from tollbook.session import broadcast_within
 
-#: Bounds of the model and of its training sample: terms, labelled rows; a term must occur in so many labelled rows
-#: and differ between the labels by so many standard errors, or chance terms drown the few that matter.
-TERMS, ROWS, LEAST, ERRORS = 2048, 40_000, 5, 5.0
+#: Bounds of the model and of its training sample: terms, labelled rows; a term must occur in so many labelled rows.
+TERMS, ROWS, LEAST = 2048, 40_000, 5
+#: Pairs are counted between so many strongest terms and so many frequent ones.
+ANCHORS, CANDIDATES = 32, 8192
+#: Terms of so many standard errors are held by the plain penalty, weaker ones by the fourth power of what they lack.
+ERRORS, PENALTY = 5.0, 0.2
 FACTORS, STEPS, BATCH, SEED = 8, 1000, 256, 1
 #: Labels, two numbers each, are sent to every executor up to so many rows; more are joined by shuffle.
 BROADCAST_ROWS = 500_000
@@ -74,29 +78,94 @@ def known_terms(lists, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return place[known], row[known]
 
 
-def choose_terms(labelled: DataFrame, count: int = TERMS, least: int = LEAST, errors: float = ERRORS) -> np.ndarray:
-    """The terms whose frequency differs most between the labels, by z score, over all labelled rows."""
+@dataclass
+class Terms:
+    """Chosen terms, sorted, with the standard errors of their own effect and of the greater of own and in pairs."""
+
+    hashes: np.ndarray
+    own: np.ndarray
+    paired: np.ndarray
+
+
+def errors_of(p, c, toxic, clean):
+    """Standard errors between the shares of ``p`` of ``toxic`` and ``c`` of ``clean`` rows."""
+    share = (p + c) / np.maximum(toxic + clean, 1)
+    spread = np.sqrt(share * (1 - share) * (1 / np.maximum(toxic, 1) + 1 / np.maximum(clean, 1)) + 1e-12)
+    return np.abs(p / np.maximum(toxic, 1) - c / np.maximum(clean, 1)) / spread
+
+
+def pair_counts(labelled: DataFrame, anchors: np.ndarray, terms: np.ndarray) -> np.ndarray:
+    """``counts[label, anchor, term]`` over all labelled rows, summed in the tasks; ``anchors`` are places of ``terms``."""
+    which = np.full(len(terms), -1)
+    which[anchors] = np.arange(len(anchors))
+
+    def count(batches):
+        sums = np.zeros((2, len(anchors), len(terms)), np.int64)
+        for frame in batches:
+            place, row = known_terms(frame["terms"].tolist(), terms)
+            for toxic, some in zip(frame["toxic"], np.split(place, np.searchsorted(row, np.arange(1, len(frame))))):
+                held = which[some]
+                sums[toxic][np.ix_(held[held >= 0], some)] += 1
+        for toxic in (0, 1):
+            yield pd.DataFrame({"toxic": toxic, "anchor": np.arange(len(anchors)), "counts": list(sums[toxic])})
+
+    def add(frame: pd.DataFrame) -> pd.DataFrame:
+        return frame.iloc[:1].assign(counts=[np.sum(np.stack(frame["counts"].to_numpy()), axis=0)])
+
+    shape, out = "toxic int, anchor int, counts array<long>", np.zeros((2, len(anchors), len(terms)))
+    for r in labelled.mapInPandas(count, shape).groupBy("toxic", "anchor").applyInPandas(add, shape).toPandas().itertuples():
+        out[r.toxic, r.anchor] = r.counts
+    return out
+
+
+def choose_terms(labelled: DataFrame, count: int = TERMS, least: int = LEAST) -> Terms | None:
+    """Half of the terms by their own effect, a quarter by their effect beside a strongest term, the rest by frequency.
+
+    Terms in fewer than ``least`` rows count only if there are no others. None without both labels.
+    """
     rows = labelled.groupBy("toxic").count().collect()  # one row per label
     n = {r["toxic"]: r["count"] for r in rows}
     if len(n) < 2:
-        return np.empty(0, np.int64)
+        return None
     seen = labelled.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(
         F.sum(F.col("toxic").cast("double")).alias("p"), F.count("*").cast("double").alias("all")
-    ).where(F.col("all") >= least)
+    )
+    seen = stored(seen, "toxicity-counts")
+    often = seen.where(F.col("all") >= least)
+    if not often.head(1):
+        often = seen
     share = F.col("all") / (n[0] + n[1])
     spread = F.sqrt(share * (1 - share) * (1 / n[1] + 1 / n[0]) + F.lit(1e-12))
     z = F.abs(F.col("p") / n[1] - (F.col("all") - F.col("p")) / n[0]) / spread
-    best = seen.select("term", z.alias("z")).where(F.col("z") >= errors).orderBy(F.desc("z"), "term").limit(count)
-    return np.sort(best.select("term").toPandas()["term"].to_numpy("int64"))
-
-
-def fit_machine(known: np.ndarray, row: np.ndarray, labels: np.ndarray, terms: np.ndarray) -> Machine:
-    """Minimise the logistic loss by Adam over shuffled batches."""
-    rng, n, size = np.random.default_rng(SEED), len(labels), len(terms)
+    best = lambda by, most, label: stored(often.orderBy(F.desc(by), "term").limit(most), label)
+    # A term of every row says nothing, and neither does one of none: the variance ranks frequencies.
+    some = best(z, count, "toxicity-strong").union(best(share * (1 - share), max(count, CANDIDATES), "toxicity-frequent"))
+    some = some.distinct().toPandas().sort_values("term")
+    terms, p, c = some["term"].to_numpy("int64"), some["p"].to_numpy(float), (some["all"] - some["p"]).to_numpy(float)
+    own = errors_of(p, c, n[1], n[0])
+    anchors = np.argsort(-own, kind="stable")[:ANCHORS]
+    clean, toxic = pair_counts(labelled, anchors, terms)
+    lines = np.arange(len(anchors))
+    beside = errors_of(toxic, clean, toxic[lines, anchors][:, None], clean[lines, anchors][:, None])
+    beside[lines, anchors] = 0
+    # The greatest of many chance effects is no small one: what their number explains is taken off.
+    pair = np.sqrt(np.maximum(0, beside.max(0, initial=0) ** 2 - 2 * np.log(max(1, len(anchors)))))
+    taken: list[int] = []
+    for by, most in ((own, count // 2), (pair, count * 3 // 4), ((p + c) * (n[0] + n[1] - p - c), count)):
+        held = set(taken)
+        taken += [i for i in np.argsort(-by, kind="stable").tolist() if i not in held][: most - len(taken)]
+    taken = np.sort(np.array(taken, np.int64))
+    return Terms(terms[taken], own[taken], np.maximum(own, pair)[taken])
+
+
+def fit_machine(known: np.ndarray, row: np.ndarray, labels: np.ndarray, terms: Terms) -> Machine:
+    """Minimise the logistic loss by Adam over shuffled batches, with penalties by the evidence for each term."""
+    rng, n, size = np.random.default_rng(SEED), len(labels), len(terms.hashes)
     base = (labels.sum() + 0.5) / (n + 1)
     begins = np.searchsorted(row, np.arange(n + 1))
     params = [np.array([np.log(base / (1 - base))]), np.zeros(size), rng.normal(0, 0.01, (size, FACTORS))]
     slopes, squares = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
+    hold = [PENALTY / n / np.clip(e / ERRORS, 0.1, 1.0) ** 4 for e in (terms.own, terms.paired)]
     order = rng.permutation(n)
     for step in range(1, STEPS + 1):
         some = order[:BATCH]
@@ -109,12 +178,13 @@ def fit_machine(known: np.ndarray, row: np.ndarray, labels: np.ndarray, terms: n
         z = bias + x @ w + (sums**2 - x @ v**2).sum(1) / 2
         error = (1 / (1 + np.exp(-np.clip(z, -60, 60))) - labels[some]) / len(some)
         by_term = x.T @ error
-        grads = [np.array([error.sum()]), by_term + 1e-5 * w, x.T @ (error[:, None] * sums) - by_term[:, None] * v + 1e-4 * v]
+        grads = [np.array([error.sum()]), by_term + hold[0] * w, x.T @ (error[:, None] * sums) - by_term[:, None] * v + hold[1][:, None] * v]
+        rate = 0.02 * min(1.0, 2 - 2 * step / (STEPS + 1))
         for p, g, m, s in zip(params, grads, slopes, squares):
             m += 0.1 * (g - m)
             s += 0.001 * (g * g - s)
-            p -= 0.02 * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.999**step)) + 1e-8)
-    return Machine(terms, float(params[0][0]), params[1], params[2])
+            p -= rate * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.999**step)) + 1e-8)
+    return Machine(terms.hashes, float(params[0][0]), params[1], params[2])
 
 
 def train(documents: DataFrame, labels: DataFrame, count: int = TERMS, rows: int = ROWS, least: int = LEAST) -> Machine:
@@ -127,9 +197,10 @@ def train(documents: DataFrame, labels: DataFrame, count: int = TERMS, rows: int
     marked = broadcast_within(stored(marked, "toxicity-labels"), BROADCAST_ROWS)
     labelled = documents.select("doc_id", "text").join(marked, "doc_id").select("doc_id", "toxic", hashed_terms(text_of()).alias("terms"))
     labelled = stored(labelled, "toxicity-labelled")
-    terms = choose_terms(labelled, count, least)
-    if not len(terms):
-        return Machine(terms, -60.0, np.zeros(0), np.zeros((0, FACTORS)))
+    chosen = choose_terms(labelled, count, least)
+    if chosen is None:
+        return Machine(np.empty(0, np.int64), -60.0, np.zeros(0), np.zeros((0, FACTORS)))
+    terms = chosen.hashes
 
     def reduce(batches):
         for frame in batches:
@@ -141,7 +212,7 @@ def train(documents: DataFrame, labels: DataFrame, count: int = TERMS, rows: int
     few = sample(known, rows, "doc_id", "toxic", "known").toPandas()
     sizes = few["known"].map(len).to_numpy()
     known = np.concatenate([np.asarray(k, np.int64) for k in few["known"]])
-    return fit_machine(known, np.repeat(np.arange(len(few)), sizes), few["toxic"].to_numpy("float64"), terms)
+    return fit_machine(known, np.repeat(np.arange(len(few)), sizes), few["toxic"].to_numpy("float64"), chosen)
 
 
 def score_column(machine: Machine, text: Column) -> Column:
