@@ -181,6 +181,32 @@ def test_secrets_weak_parts_need_their_complement(spark):
     assert got == {i: k for i, k in enumerate(cases.values())}
 
 
+def test_secrets_a_part_that_overlaps_does_not_hide_those_beside_it(spark):
+    uuid = "6f1c2b7e-90ab-4cde-8123-4567890abcde"
+    cases = {
+        f"client_id={uuid} client_secret=Zk3xQ9aa": ["keyid", "assign"], f"client_secret=Zk3xQ9aa client_id={uuid}": ["assign", "keyid"],
+        f"client_id={uuid}": [], f"client_id={uuid}{' .' * 90} client_secret=Zk3xQ9aa": ["assign"],
+    }
+    got = credentials.documents_with_spans(documents(spark, [(i, t, "en", "a") for i, t in enumerate(cases)])).collect()
+    assert {r["doc_id"]: [s["kind"] for s in r["spans"]] for r in got} == dict(enumerate(cases.values()))
+
+
+def test_secrets_links_equal_all_pairs(spark):
+    draw, parts = random.Random(8), credentials.BASE_PARTS + credentials.WEAK_PARTS
+    found = {(d, n, draw.randrange(600), draw.randrange(6, 90)) for d in range(60) for n in range(len(parts)) for _ in range(draw.randrange(3))}
+    found = [(d, 0, n, s + size, s) for d, n, s, size in found]
+    frame = spark.createDataFrame(found, "doc_id long, version long, kind_no int, end int, start int").dropDuplicates(["doc_id", "kind_no", "start"])
+    found, wanted = [tuple(r) for r in frame.collect()], set()
+    for d, v, n, end, start in found:
+        others = [(parts[o], a, b) for e, _, o, b, a in found if e == d]
+        fit = any(p.role != parts[n].role and "secret" in (p.role, parts[n].role) and (0 <= start - b <= 160 or 0 <= a - end <= 160) for p, a, b in others)
+        if parts[n].base or (fit and not any(p.base and a < end and start < b for p, a, b in others)):
+            wanted.add((d, n, start, end))
+    frame = spark.createDataFrame(found, frame.schema)
+    got = [tuple(r) for r in credentials.link_parts(frame, parts).select("doc_id", "kind_no", "start", "end").collect()]
+    assert len(got) == len(set(got)) and set(got) == wanted
+
+
 def test_secrets_awkward_rows_and_masking(spark):
     frame = documents(spark, [*AWKWARD, (7, "a token = 'abcdef0123456789abcdef0123' é", "en", "a"), (7, "a token = 'abcdef0123456789abcdef0123' é", "en", "a"), (None, "AKIA" + "Z" * 16, "en", "a")])
     found = credentials.documents_with_spans(frame)

@@ -78,29 +78,34 @@ def link_parts(found: DataFrame, parts: list[Part], scope: int = SCOPE) -> DataF
     """Base parts, and weak parts that a complementary part stands near: an interval join by nearest neighbours.
 
     A weak part is reported if, within ``scope`` code points between them, there is a part of another role, one of
-    the two roles is the secret, and they don't overlap. For each role the nearest part on either side decides, so
-    one pass in order of position does, and no pairs are made. A weak part that overlaps a base part is left out.
+    the two roles is the secret, and they don't overlap. Starts and ends go in one order of position: before a start, the
+    last end of a role is the nearest part that doesn't overlap, and after an end the first start. So one pass does,
+    and no pairs are made. A weak part that overlaps a base part is left out.
     """
     name = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), F.col("kind_no") + 1)
     rows = found.withColumn("role", name([p.role for p in parts])).withColumn("base", name([p.base for p in parts]))
-    here = Window.partitionBy("doc_id", "version").orderBy("start", "kind_no")
+    # At one position ends come first: a part that ends where another starts doesn't overlap it.
+    begins = F.col("begins")
+    rows = rows.withColumn("begins", F.explode(F.array(F.lit(False), F.lit(True)))).withColumn("at", F.when(begins, F.col("start")).otherwise(F.col("end")))
+    here = Window.partitionBy("doc_id", "version").orderBy("at", "begins", "kind_no")
     back, ahead = here.rowsBetween(Window.unboundedPreceding, -1), here.rowsBetween(1, Window.unboundedFollowing)
     near = {}
     for role in ("access", "secret", "endpoint"):
         mine = F.col("role") == role
-        # Among parts that begin earlier, the greatest end is nearest; those that overlap count as overlap below.
-        near[role] = (
-            F.coalesce((F.col("start") - F.max(F.when(mine, F.col("end"))).over(back)).between(0, scope), F.lit(False))
-            | F.coalesce((F.min(F.when(mine, F.col("start"))).over(ahead) - F.col("end")).between(0, scope), F.lit(False))
+        gap = F.when(begins, F.col("at") - F.max(F.when(mine & ~begins, F.col("at"))).over(back)).otherwise(
+            F.min(F.when(mine & begins, F.col("at"))).over(ahead) - F.col("at")
         )
+        near[role] = F.coalesce(gap <= scope, F.lit(False))
     complete = (
         F.when(F.col("role") == "secret", near["access"] | near["endpoint"]).otherwise(near["secret"])
     )
     based = F.col("base")
-    covered = F.coalesce(F.max(F.when(based, F.col("end"))).over(back) > F.col("start"), F.lit(False)) | F.coalesce(
-        F.min(F.when(based, F.col("start"))).over(ahead) < F.col("end"), F.lit(False)
+    covered = begins & (
+        F.coalesce(F.max(F.when(based & begins, F.col("end"))).over(back) > F.col("start"), F.lit(False))
+        | F.coalesce(F.min(F.when(based & begins, F.col("start"))).over(ahead) < F.col("end"), F.lit(False))
     )
-    marked = rows.select("*", (based | (complete & ~covered)).alias("reported"))
+    marked = rows.select("*", complete.alias("complete"), covered.alias("covered")).groupBy("doc_id", "version", "kind_no", "base", "start", "end")
+    marked = marked.agg((based | (F.bool_or("complete") & ~F.bool_or("covered"))).alias("reported"))
     return marked.where("reported").select("doc_id", "version", "kind_no", name([p.kind for p in parts]).alias("kind"), "base", "start", "end")
 
 
