@@ -52,6 +52,25 @@ def test_nearest_neighbours_recall_scores_and_ties(spark):
     assert ann.nearest(frame.where("vec_id >= 900"), F.lit(True)).count() == 0
 
 
+def test_few_candidates_are_all_found(spark):
+    draw = np.random.default_rng(5)
+    # Groups of one length each: alone small, and beside a large one; one id has many vectors of its own.
+    groups = {64: 100, 60: 21, 50: 5, 40: 1, 32: 1500}
+    data, at = [], 0
+    for d, n in groups.items():
+        data += [(at + i, v.tolist(), "", "") for i, v in enumerate(draw.normal(size=(n, d)))]
+        at += n
+    data += [(100, v.tolist(), "", "") for v in draw.normal(size=(40, 60))]
+    small = [r for r in data if len(r[1]) != 32]
+    for rows_, asks in ((data, F.col("vec_id") < 127), (small, F.lit(True))):
+        got = ann.nearest(vectors(spark, rows_), asks, 20).collect()
+        for q in sorted({r[0] for r in small}):
+            mine = [(r["rank"], r["vec_id"]) for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q]
+            asked = [np.array(v) for i, v, _, _ in small if i == q]
+            best = sorted((-float(a @ np.array(v)), i) for a in asked for i, v, _, _ in small if i != q and len(v) == len(a))[:20]
+            assert mine == [(n + 1, i) for n, (_, i) in enumerate(best)], q
+
+
 def test_long_vectors_are_found_beside_short_ones(spark):
     data = [(i, v.tolist(), "", "") for i, v in enumerate(np.random.default_rng(3).normal(size=(200, 16)))]
     data += [(1000 + i, [c * 1e200 for c in data[i][1]], "", "") for i in range(5)]
