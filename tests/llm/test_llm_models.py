@@ -103,6 +103,32 @@ def test_windows_do_not_change_what_is_read():
     assert pii.cells_of("no numbers " * 1000) == []
 
 
+FORMS = [
+    "anna.koch at mail7.example dot com", "anna{at}example{dot}com", "anna.koch <at> mail7.example.org", "anna.koch AT example DOT org",
+    "anna_at_example_dot_com", "anna.koch at mail7.example.com",
+]
+
+
+def test_written_out_addresses_are_read_and_found(spark):
+    assert all(pii.cells_of(form) == [0] for form in [*FORMS, "annaATexampleDOTcom", "anna [ at ] example"])
+    tagger = pii.train(personal_documents(spark), steps=400)
+    texts = [f"so it was {form} so it was" for form in FORMS]
+    found = [[text[a:b] for a, k, b in added if k == 0] for text, added in zip(texts, pii.added_spans(tagger, texts, [[] for _ in texts]))]
+    assert all(found), found
+
+
+def test_spans_that_leave_the_cells_beside_a_trigger_are_whole(monkeypatch):
+    class Letters:
+        """Tags every letter x as part of an e-mail."""
+
+        def decode(self, ids):
+            return np.where(ids == pii.char_ids("x")[0], 2, 0)
+
+    monkeypatch.setattr(pii, "plausible", lambda span, kind: True)
+    text = " " * 500 + "x" * 300 + "@" + "x" * 300 + " " * 400
+    assert pii.added_spans(Letters(), [text, "x" * 99], [[], []]) == [[(500, 0, 800), (801, 0, 1101)], []]
+
+
 def toxic_documents(spark, n=1200):
     """An insult is toxic only beside a group; either alone is fine."""
     draw, rows, labels = random.Random(3), [], []

@@ -25,8 +25,15 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-#: Only cells that hold one of these can hold a span that the tagger adds.
-TRIGGER = re.compile(r"[0-9@]|[(\[] ?at ?[)\]]|[(\[] ?dot ?[)\]]", re.I)
+#: Cells that hold one of these are read: digits, "@", bracketed "at", the word "dot", and "at" before a label and a dot. The
+#: words may stand between any signs, or in capitals between small letters.
+_AT, _DOT = (rf"(?:(?<![A-Za-z0-9])(?i:{w})(?![A-Za-z0-9])|(?<=[a-z0-9]){w.upper()}(?=[a-z0-9]))" for w in ("at", "dot"))
+TRIGGER = re.compile(rf"[0-9@]|[(\[{{<] ?(?i:at) ?[)\]}}>]|{_DOT}|{_AT}(?=[^A-Za-z0-9]{{0,4}}[\w-]{{1,63}}[^A-Za-z0-9.]{{0,4}}\.\s?[^\W_])")
+#: "at" and "dot" as people write them.
+WRITTEN = [
+    ("@", "."), (" [at] ", " [dot] "), (" (at) ", " (dot) "), ("(at)", "."), (" [at] ", "."), (" at ", " dot "), ("{at}", "{dot}"),
+    (" <at> ", "."), (" AT ", " DOT "), ("_at_", "_dot_"), (" at ", "."), ("AT", "DOT"), (" {at} ", " {dot} "), ("<at>", "<dot>"),
+]
 WINDOW, STEP = 96, 48
 #: Bounds of the training sample: windows around spans, and windows around other triggers.
 SPANS, OTHERS, STEPS = 3000, 1500, 400
@@ -74,8 +81,8 @@ def find_base(text: str) -> list[tuple[int, int, int]]:
 def rewrite(span: str, kind: int, draw: int) -> str:
     """A span the way it is written to get past filters; ``draw`` chooses, and 0 leaves it."""
     if kind == 0:
-        at, dot = [("@", "."), (" [at] ", " [dot] "), (" (at) ", " (dot) "), ("(at)", "."), (" [at] ", ".")][draw % 5]
-        return span.replace("@", at).replace(".", dot) if draw % 5 else span
+        at, dot = WRITTEN[draw % len(WRITTEN)]
+        return span.replace(".", dot).replace("@", at)
     if kind == 1:
         return span.replace(".", ["." , " . ", "[.]", "(.)", "[.]"][draw % 5])
     if kind == 2:
@@ -143,7 +150,7 @@ def train(documents: DataFrame, spans: int = SPANS, others: int = OTHERS, steps:
 
 
 def cells_of(text: str) -> list[int]:
-    """Cells of a step's length in which a trigger begins, or the cell beside it holds one: no others are read."""
+    """Cells of a step's length in which a trigger begins, or the cell beside it holds one: those that are read first."""
     near = {m.start() // STEP for m in TRIGGER.finditer(text)}
     return sorted({c for n in near for c in (n - 1, n, n + 1) if 0 <= c <= (len(text) - 1) // STEP})
 
@@ -184,19 +191,24 @@ def plausible(span: str, kind: int) -> bool:
 
 
 def added_spans(tagger: Tagger, texts: list[str], base: list[list[tuple[int, int, int]]]) -> list[list[tuple[int, int, int]]]:
-    """Spans that the tagger finds beside the base spans of each text."""
+    """Spans that the tagger finds beside the base spans of each text.
+
+    Where a tag stands at the edge of what is read, the next cell is read too, so no span is cut there.
+    """
+    read: list[dict[int, np.ndarray]] = [{} for _ in texts]
     cells = [(n, c) for n, text in enumerate(texts) for c in cells_of(text)]
-    tags = tag_cells(tagger, [(texts[n], c) for n, c in cells])
-    by_text: dict[int, list[int]] = {}
-    for i, (n, _) in enumerate(cells):
-        by_text.setdefault(n, []).append(i)
+    while cells:
+        for (n, c), tags in zip(cells, tag_cells(tagger, [(texts[n], c) for n, c in cells])):
+            read[n][c] = tags[: len(texts[n]) - c * STEP]
+        edges = {(n, c + way) for n, c in cells for way, at in ((-1, 0), (1, -1)) if read[n][c][at]}
+        cells = sorted((n, c) for n, c in edges if 0 <= c * STEP < len(texts[n]) and c not in read[n])
     out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-    for n, mine in by_text.items():
-        text = texts[n]
-        places = np.concatenate([cells[i][1] * STEP + np.arange(STEP) for i in mine])
-        inside = places < len(text)
-        taken = base[n]
-        for start, kind, end in spans_of(np.concatenate([tags[i] for i in mine])[inside], places[inside]):
+    for n, mine in enumerate(read):
+        text, taken, order = texts[n], base[n], sorted(mine)
+        if not order:
+            continue
+        places = np.concatenate([c * STEP + np.arange(len(mine[c])) for c in order])
+        for start, kind, end in spans_of(np.concatenate([mine[c] for c in order]), places):
             if plausible(text[start:end], kind) and not any(start < b and a < end for a, _, b in taken):
                 out[n].append((start, kind, end))
     return out
@@ -212,7 +224,7 @@ def find_personal_data(documents: DataFrame, tagger: Tagger | None = None) -> Da
     ``base`` are the spans of the patterns; ``spans`` holds them and those that the tagger adds where they overlap none.
     Places are code points, the end is exclusive; spans go by start and then kind. Null text counts as empty; null ids
     and repeated rows all return. Without a tagger, one is trained on these documents. Texts are read whole; a text
-    without a digit or ``@`` and the like is only searched for these. Other columns are ignored; no rows give no rows.
+    without a digit, ``@``, "at" or "dot" as in TRIGGER is only searched for these. Other columns are ignored; no rows give no rows.
     """
     tagger = tagger or train(documents)
 
