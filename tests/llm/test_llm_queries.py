@@ -20,7 +20,7 @@ def test_query_equals_its_check(spark, name):
 
 def test_every_operator_and_the_pipeline_are_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in entry.queries() if n.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 def test_pipeline_stages_take_effect(spark):

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollbook.llm import ann, chat, credentials, mixing, packing, pii, simhash, topk, toxicity, urls
+from tollbook.llm import ann, audit, chat, credentials, infill, mixing, packing, pii, simhash, topk, toxicity, urls
 from tollbook.llm.common import read_table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -244,3 +244,64 @@ whole as (select row_no, string_agg(span, ',' order by "start", kind_no) as span
 select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
   sha256(coalesce(base_spans, '')) as base_sha256, coalesce(spans, '') as spans from docs left join whole using (row_no)
 """
+
+
+@query("op11_fill_in_middle")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    cut = infill.fill_in_middle(read_table(spark, folder, "documents"))
+    back = infill.restore(F.col("output"), F.col("form"))
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"),
+    )
+
+
+CHECKS["op11_fill_in_middle"] = """
+with docs as (select doc_id, coalesce(text, '') as text, sha256('42:' || coalesce(cast(doc_id as varchar), '')) as digest from documents),
+drawn as (select doc_id, text, regexp_extract_all(text, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as units,
+  cast('0x' || substr(digest, 1, 8) as bigint) as h1, cast('0x' || substr(digest, 9, 8) as bigint) as h2,
+  cast('0x' || substr(digest, 17, 8) as bigint) as h3, cast('0x' || substr(digest, 25, 8) as bigint) as h4 from docs),
+cut as (select *, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) as a, greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) as b,
+  case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 50 then 'plain'
+    when h4 % 100 < 80 then 'spm' else 'psm' end as form from drawn),
+parts as (select *, array_to_string(units[1 : a], '') as prefix, array_to_string(units[a + 1 : b], '') as middle,
+  array_to_string(units[b + 1 : len(units)], '') as suffix from cut)
+select doc_id, len(units) as n, form, case when form <> 'plain' then length(prefix) end as prefix_chars,
+  case when form <> 'plain' then length(middle) end as middle_chars,
+  sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+  sha256(text) as restored_sha256 from parts
+"""
+
+
+@query("op12_filter_audit")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.audit_filters(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+
+
+CHECKS["op12_filter_audit"] = """
+with recursive docs as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as text from documents),
+marks as (select doc_id, max(cast(quality = 1 as int)) as good, max(cast(toxic = 1 as int)) as toxic from labels group by doc_id),
+counted as (select *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as words, min(doc_id) over (partition by text) as first_id from docs),
+masked as (select part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic,
+  cast(len(words) < 200 as int) + 2 * cast(100 * len(list_distinct(words)) < 50 * len(words) as int)
+  + 4 * cast(100 * len(regexp_extract_all(text, '[A-Z]')) > 2 * length(text) as int)
+  + 8 * cast(regexp_matches(text, '[#$%&*|]') as int) + 16 * cast(coalesce(doc_id > first_id, false) as int) as mask
+  from counted left join marks using (doc_id)),
+letters(letter, bit) as (values ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders(filter_order, bits, step) as (select '', 0, 0 union all
+  select filter_order || letter, bits | bit, step + 1 from orders join letters on bits & bit = 0),
+steps as (select filter_order, cast(n as int) as step, letters.bit as bit,
+  (select sum(l.bit) from letters l where position(l.letter in left(o.filter_order, cast(n as int) - 1)) > 0) as before
+  from orders o, range(1, 6) r(n), letters where o.step = 5 and letters.letter = substr(filter_order, cast(n as int), 1)),
+found as (select part, filter_order, step, bit,
+  count(*) filter (mask & (coalesce(before, 0) | bit) = 0) as kept,
+  count(*) filter (mask & coalesce(before, 0) = 0 and mask & bit <> 0) as removed,
+  count(*) filter (mask & bit <> 0 and mask & coalesce(before, 0) <> 0) as redundant,
+  count(*) filter (mask = bit) as unique_fails,
+  count(*) filter (mask & coalesce(before, 0) = 0 and mask & bit <> 0 and good = 1) as good_lost,
+  count(*) filter (mask & coalesce(before, 0) = 0 and mask & bit <> 0 and toxic = 1) as toxic_lost
+  from masked cross join (select filter_order, step, bit, cast(before as int) as before from steps) group by part, filter_order, step, bit)
+select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  cast(sum(removed) over (partition by part, bit) as bigint) as shapley from found
+"""
