@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollbook.llm import ann, audit, chat, credentials, infill, mixing, packing, pii, simhash, topk, toxicity, urls
+from tollbook.llm import ann, audit, chat, credentials, infill, mixing, packing, pii, scoring, simhash, topk, toxicity, urls
 from tollbook.llm.common import read_table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,9 +22,11 @@ def query(name: str):
     return register
 
 
-def tokenizer_path() -> str:
-    """The vocabulary file, below the folder named by TOKENIZER_DIR."""
-    return os.path.join(os.environ.get("TOKENIZER_DIR", "/opt/tokenizers"), "word_bpe_49k.json")
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Place of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 @query("op1_chat_formatting")
@@ -305,3 +306,8 @@ found as (select part, filter_order, step, bit,
 select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
   cast(sum(removed) over (partition by part, bit) as bigint) as shapley from found
 """
+
+
+@query("op13_lattice_scores")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return scoring.score_documents(read_table(spark, folder, "documents"), tokenizer_path("piece_bpe_32k.model"))
