@@ -34,9 +34,21 @@ def unescape(text: Column) -> Column:
     return F.replace(text, F.lit("<||"), F.lit("<|"))
 
 
-def _render(part: Column) -> Column:
-    placeholder = F.concat(F.lit("<|"), part["kind"], F.lit("|>"))
-    return F.when(part["kind"].isin(*TOKENS_PER_UNIT), placeholder).otherwise(escape(F.coalesce(part["text"], F.lit(""))))
+def _is_medium(part: Column) -> Column:
+    return F.coalesce(part["kind"].isin(*TOKENS_PER_UNIT), F.lit(False))
+
+
+def _written(parts: Column) -> Column:
+    """The parts in order, texts escaped as if those between two placeholders were one: no control string forms where parts meet."""
+    shown = F.filter(parts, lambda p: _is_medium(p) | (F.coalesce(p["text"], F.lit("")) != ""))
+
+    def one(part: Column, i: Column) -> Column:
+        before = F.get(shown, i - 1)
+        opened = F.coalesce(~_is_medium(before) & F.endswith(before["text"], F.lit("<")) & F.startswith(part["text"], F.lit("|")), F.lit(False))
+        text = F.concat(F.when(opened, "|").otherwise(""), escape(part["text"]))
+        return F.when(_is_medium(part), F.concat(F.lit("<|"), part["kind"], F.lit("|>"))).otherwise(text)
+
+    return F.array_join(F.transform(shown, one), "")
 
 
 def _attachment(part: Column, turn_no: Column, tokens_per_unit: dict[str, int]) -> Column:
@@ -64,7 +76,7 @@ def format_conversations(
     rows = turns.select(
         "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), parts.alias("parts"),
         F.concat(F.lit(START), role, F.lit("\n")).alias("head"),
-        F.array_join(F.transform(parts, _render), "").alias("body"),
+        _written(parts).alias("body"),
     )
     order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "body", F.to_json("parts"))
     size = F.length("head") + F.length("body") + F.lit(len(END) + 1)
@@ -73,7 +85,7 @@ def format_conversations(
         F.row_number().over(order).alias("turn_no"),
         F.coalesce(F.sum(size).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"),
     )
-    media = F.filter("parts", lambda p: F.coalesce(p["kind"].isin(*TOKENS_PER_UNIT), F.lit(False)))
+    media = F.filter("parts", _is_medium)
     begin = (F.col("start") + F.length("head")).cast("bigint")
     span = F.struct(begin.alias("start"), (begin + F.length("body")).cast("bigint").alias("end"))
     one = F.struct(
