@@ -47,7 +47,8 @@ PATTERN_RULES = [
     Rule("farm", "block", r"^[^/]*\bspam-farm\b", ["spam", "farm"]),
     Rule("casino", "block", r"^[^/]*\bcasino\b", ["casino"]),
     Rule("adult", "block", r"^[^/]*\bxxx\b", ["xxx"]),
-    Rule("warez", "block", r"/(?:warez|keygen)/", []),
+    Rule("warez", "block", "/warez/", ["warez"]),
+    Rule("keygen", "block", "/keygen/", ["keygen"]),
 ]
 
 
