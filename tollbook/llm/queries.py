@@ -218,11 +218,10 @@ def _case(values: list, column: str = "kind_no") -> str:
     return f"case {column} " + " ".join(f"when {i} then {v}" for i, v in enumerate(shown)) + " end"
 
 
-def _near(role: str) -> str:
-    return (
-        f"(coalesce(\"start\" - max(\"end\") filter (role = '{role}') over back between 0 and {credentials.SCOPE}, false) or "
-        f"coalesce(min(\"start\") filter (role = '{role}') over ahead - \"end\" between 0 and {credentials.SCOPE}, false))"
-    )
+def _beside(role: str) -> str:
+    """SQL: a part of a role stands within the scope before or after the part p, without overlapping it."""
+    return f"""exists (select 1 from parts o where o.row_no = p.row_no and o.role = '{role}'
+    and (p."start" - o."end" between 0 and {credentials.SCOPE} or o."start" - p."end" between 0 and {credentials.SCOPE}))"""
 
 
 PARTS = credentials.BASE_PARTS + credentials.WEAK_PARTS
@@ -232,10 +231,9 @@ found as ({' union all '.join(_matches(p, n) for n, p in enumerate(PARTS))}),
 placed as (select *, sum(gap + size) over (partition by row_no, kind_no order by i) as "end" from found),
 parts as (select row_no, kind_no, "end", "end" - size as "start", {_case([p.role for p in PARTS])} as role,
   {_case([p.base for p in PARTS])} as base from placed where counted >= {_case([p.least for p in PARTS])}),
-marked as (select *, {_near('access')} as by_access, {_near('secret')} as by_secret, {_near('endpoint')} as by_endpoint,
-  coalesce(max("end") filter (base) over back > "start", false) or coalesce(min("start") filter (base) over ahead < "end", false) as covered
-  from parts window back as (partition by row_no order by "start", kind_no rows between unbounded preceding and 1 preceding),
-    ahead as (partition by row_no order by "start", kind_no rows between 1 following and unbounded following)),
+marked as (select *, {_beside('access')} as by_access, {_beside('secret')} as by_secret, {_beside('endpoint')} as by_endpoint,
+  exists (select 1 from parts o where o.row_no = p.row_no and o.base and o."start" < p."end" and p."start" < o."end") as covered
+  from parts p),
 reported as (select *, {_case([p.kind for p in PARTS])} || ':' || "start" || ':' || "end" as span from marked
   where base or (not covered and case role when 'secret' then by_access or by_endpoint else by_secret end)),
 whole as (select row_no, string_agg(span, ',' order by "start", kind_no) as spans,
