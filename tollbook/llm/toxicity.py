@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tollbook.llm.common import sample, stored, text_of
+from tollbook.llm.common import stored, text_of
 from tollbook.session import broadcast_within
 
 #: Bounds of the model and of its training sample: terms, labelled rows; a term must occur in so many labelled rows.
@@ -25,6 +25,8 @@ ANCHORS, CANDIDATES = 32, 8192
 #: Terms of so many standard errors are held by the plain penalty, weaker ones by the fourth power of what they lack.
 ERRORS, PENALTY = 5.0, 0.2
 FACTORS, STEPS, BATCH, SEED = 8, 1000, 256, 1
+#: Counts of pairs that a task hands on at once.
+CELLS = 50_000
 #: Labels, two numbers each, are sent to every executor up to so many rows; more are joined by shuffle.
 BROADCAST_ROWS = 500_000
 
@@ -95,26 +97,28 @@ def errors_of(p, c, toxic, clean):
 
 
 def pair_counts(labelled: DataFrame, anchors: np.ndarray, terms: np.ndarray) -> np.ndarray:
-    """``counts[label, anchor, term]`` over all labelled rows, summed in the tasks; ``anchors`` are places of ``terms``."""
+    """``counts[label, anchor, term]`` over all labelled rows, summed in the tasks first; ``anchors`` are places of ``terms``."""
     which = np.full(len(terms), -1)
     which[anchors] = np.arange(len(anchors))
 
+    shape = (2, len(anchors), len(terms))
+
     def count(batches):
-        sums = np.zeros((2, len(anchors), len(terms)), np.int64)
+        sums = np.zeros(shape, np.int64)
         for frame in batches:
             place, row = known_terms(frame["terms"].tolist(), terms)
             for toxic, some in zip(frame["toxic"], np.split(place, np.searchsorted(row, np.arange(1, len(frame))))):
                 held = which[some]
                 sums[toxic][np.ix_(held[held >= 0], some)] += 1
-        for toxic in (0, 1):
-            yield pd.DataFrame({"toxic": toxic, "anchor": np.arange(len(anchors)), "counts": list(sums[toxic])})
-
-    def add(frame: pd.DataFrame) -> pd.DataFrame:
-        return frame.iloc[:1].assign(counts=[np.sum(np.stack(frame["counts"].to_numpy()), axis=0)])
-
-    shape, out = "toxic int, anchor int, counts array<long>", np.zeros((2, len(anchors), len(terms)))
-    for r in labelled.mapInPandas(count, shape).groupBy("toxic", "anchor").applyInPandas(add, shape).toPandas().itertuples():
-        out[r.toxic, r.anchor] = r.counts
+        cells = np.flatnonzero(sums)
+        for at in range(0, len(cells), CELLS):
+            some = cells[at : at + CELLS]
+            yield pd.DataFrame({"cell": some, "n": sums.ravel()[some]})
+
+    # Cells that occur are summed by Spark, each by itself, so no group grows with the tasks.
+    summed = labelled.select("toxic", "terms").mapInPandas(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(shape)
+    out.ravel()[summed["cell"].to_numpy()] = summed["n"].to_numpy()
     return out
 
 
@@ -140,8 +144,9 @@ def choose_terms(labelled: DataFrame, count: int = TERMS, least: int = LEAST) ->
     best = lambda by, most, label: stored(often.orderBy(F.desc(by), "term").limit(most), label)
     # A term of every row says nothing, and neither does one of none: the variance ranks frequencies.
     some = best(z, count, "toxicity-strong").union(best(share * (1 - share), max(count, CANDIDATES), "toxicity-frequent"))
-    some = some.distinct().toPandas().sort_values("term")
-    terms, p, c = some["term"].to_numpy("int64"), some["p"].to_numpy(float), (some["all"] - some["p"]).to_numpy(float)
+    some = some.distinct().toArrow().sort_by("term")
+    terms, p = some["term"].to_numpy().astype(np.int64), some["p"].to_numpy()
+    c = some["all"].to_numpy() - p
     own = errors_of(p, c, n[1], n[0])
     anchors = np.argsort(-own, kind="stable")[:ANCHORS]
     clean, toxic = pair_counts(labelled, anchors, terms)
@@ -158,11 +163,23 @@ def choose_terms(labelled: DataFrame, count: int = TERMS, least: int = LEAST) ->
     return Terms(terms[taken], own[taken], np.maximum(own, pair)[taken])
 
 
-def fit_machine(known: np.ndarray, row: np.ndarray, labels: np.ndarray, terms: Terms) -> Machine:
-    """Minimise the logistic loss by Adam over shuffled batches, with penalties by the evidence for each term."""
+def loss_slopes(params: list[np.ndarray], x: np.ndarray, labels: np.ndarray, hold: list[np.ndarray]) -> list[np.ndarray]:
+    """Slopes of the mean logistic loss over rows ``x`` of zeros and ones, plus half the ``hold`` times each square, by bias, weights and vectors."""
+    bias, w, v = params
+    sums = x @ v
+    z = bias + x @ w + (sums**2 - x @ v**2).sum(1) / 2
+    error = (1 / (1 + np.exp(-np.clip(z, -60, 60))) - labels) / len(x)
+    by_term = x.T @ error
+    return [np.array([error.sum()]), by_term + hold[0] * w, x.T @ (error[:, None] * sums) - by_term[:, None] * v + hold[1][:, None] * v]
+
+
+def fit_machine(known: np.ndarray, begins: np.ndarray, labels: np.ndarray, terms: Terms) -> Machine:
+    """Minimise the logistic loss by Adam over shuffled batches, with penalties by the evidence for each term.
+
+    ``known`` holds the places of terms row after row, the last of row i before ``begins[i + 1]``.
+    """
     rng, n, size = np.random.default_rng(SEED), len(labels), len(terms.hashes)
     base = (labels.sum() + 0.5) / (n + 1)
-    begins = np.searchsorted(row, np.arange(n + 1))
     params = [np.array([np.log(base / (1 - base))]), np.zeros(size), rng.normal(0, 0.01, (size, FACTORS))]
     slopes, squares = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     hold = [PENALTY / n / np.clip(e / ERRORS, 0.1, 1.0) ** 4 for e in (terms.own, terms.paired)]
@@ -173,12 +190,7 @@ def fit_machine(known: np.ndarray, row: np.ndarray, labels: np.ndarray, terms: T
         x = np.zeros((len(some), size))
         for i, r in enumerate(some):
             x[i, known[begins[r] : begins[r + 1]]] = 1
-        bias, w, v = params
-        sums = x @ v
-        z = bias + x @ w + (sums**2 - x @ v**2).sum(1) / 2
-        error = (1 / (1 + np.exp(-np.clip(z, -60, 60))) - labels[some]) / len(some)
-        by_term = x.T @ error
-        grads = [np.array([error.sum()]), by_term + hold[0] * w, x.T @ (error[:, None] * sums) - by_term[:, None] * v + hold[1][:, None] * v]
+        grads = loss_slopes(params, x, labels[some], hold)
         rate = 0.02 * min(1.0, 2 - 2 * step / (STEPS + 1))
         for p, g, m, s in zip(params, grads, slopes, squares):
             m += 0.1 * (g - m)
@@ -187,6 +199,44 @@ def fit_machine(known: np.ndarray, row: np.ndarray, labels: np.ndarray, terms: T
     return Machine(terms.hashes, float(params[0][0]), params[1], params[2])
 
 
+def known_rows(labelled: DataFrame, terms: np.ndarray) -> DataFrame:
+    """``hash, toxic, known``: a hash of the id, and the places of the known terms of a row as packed numbers."""
+    kind = packed_kind(terms)
+
+    def reduce(batches):
+        for frame in batches:
+            place, row = known_terms(frame["terms"].tolist(), terms)
+            parts = np.split(place.astype(kind), np.searchsorted(row, np.arange(1, len(frame))))
+            yield frame[["hash", "toxic"]].assign(known=[p.tobytes() for p in parts])
+
+    rows = labelled.select(F.xxhash64("doc_id").alias("hash"), "toxic", "terms")
+    return rows.mapInPandas(reduce, "hash long, toxic int, known binary")
+
+
+def packed_kind(terms: np.ndarray) -> str:
+    return "<u2" if len(terms) <= 1 << 16 else "<u4"
+
+
+def sample_rows(known: DataFrame, terms: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """At most ``limit`` rows, those of the smallest hashes, as ``fit_machine`` takes them: places, begins and labels.
+
+    A bound on the hash from the number of rows lets little more than these leave the tasks; equal rows travel once, with their number.
+    """
+    count = known.count()
+    if count > 2 * limit:
+        share = (1.2 * limit + 500) / count
+        known = known.where(F.col("hash") <= int(-(1 << 63) + min(1.0, share) * ((1 << 64) - 1025)))
+    few = known.groupBy("hash", "toxic", "known").agg(F.count("*").alias("times")).toArrow()
+    few = few.sort_by([("hash", "ascending"), ("toxic", "ascending"), ("known", "ascending")])
+    before = np.cumsum(few["times"].to_numpy()) - few["times"].to_numpy()
+    times = np.clip(limit - before, 0, few["times"].to_numpy())
+    which = np.repeat(np.arange(len(times)), times)
+    packed = few["known"].take(which).to_pylist()
+    kind = packed_kind(terms)
+    sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // np.dtype(kind).itemsize
+    return np.frombuffer(b"".join(packed), kind), np.concatenate([[0], np.cumsum(sizes)]), few["toxic"].to_numpy()[which].astype(float)
+
+
 def train(documents: DataFrame, labels: DataFrame, count: int = TERMS, rows: int = ROWS, least: int = LEAST) -> Machine:
     """Learn from ``documents(doc_id, text)`` and ``labels(doc_id, toxic)``, held-out rows left aside.
 
@@ -200,19 +250,8 @@ def train(documents: DataFrame, labels: DataFrame, count: int = TERMS, rows: int
     chosen = choose_terms(labelled, count, least)
     if chosen is None:
         return Machine(np.empty(0, np.int64), -60.0, np.zeros(0), np.zeros((0, FACTORS)))
-    terms = chosen.hashes
-
-    def reduce(batches):
-        for frame in batches:
-            place, row = known_terms(frame["terms"].tolist(), terms)
-            parts = np.split(place, np.searchsorted(row, np.arange(1, len(frame))))
-            yield frame[["doc_id", "toxic"]].assign(known=parts)
-
-    known = stored(labelled.mapInPandas(reduce, "doc_id long, toxic int, known array<int>"), "toxicity-known")
-    few = sample(known, rows, "doc_id", "toxic", "known").toPandas()
-    sizes = few["known"].map(len).to_numpy()
-    known = np.concatenate([np.asarray(k, np.int64) for k in few["known"]])
-    return fit_machine(known, np.repeat(np.arange(len(few)), sizes), few["toxic"].to_numpy("float64"), chosen)
+    known = stored(known_rows(labelled, chosen.hashes), "toxicity-known")
+    return fit_machine(*sample_rows(known, chosen.hashes, rows), chosen)
 
 
 def score_column(machine: Machine, text: Column) -> Column:
