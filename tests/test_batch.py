@@ -191,10 +191,11 @@ def test_failed_files_are_put_back_to_work_and_the_log_is_compacted(spark, place
         run_batch(spark, store, batch_id="b1")
     run_batch(spark, store)
     assert [r[1:3] for r in summary(store)] == [("SMS", 1), ("VOICE", 1)]
-    before, log = rows(manifest.state(), *S.MANIFEST_COLUMNS), store.read(S.MANIFEST_LOG)
+    before, log = rows(manifest.state(), *S.MANIFEST_COLUMNS), manifest.log()
     assert log.where("error_message is not null").count() == 1 and log.count() == 6
     manifest.compact()
-    assert rows(manifest.state(), *S.MANIFEST_COLUMNS) == before and store.read(S.MANIFEST_LOG).count() == 1
+    assert rows(manifest.state(), *S.MANIFEST_COLUMNS) == before and manifest.log().count() == 0
+    assert store.read(S.MANIFEST).count() == 1
     manifest.requeue()
     assert rows(manifest.state(), *S.MANIFEST_COLUMNS) == before
 
@@ -220,7 +221,7 @@ def test_lost_run_is_continued_under_its_batch_id(spark, place):
     run_batch(spark, store, batch_id="b1")
     done = manifest.state()
     # The outcome of the first run is lost: the row is back at claimed.
-    manifest._record(done.withColumn("processed_flag", F.lit(9).cast("smallint")))
+    manifest.record(done.withColumn("processed_flag", F.lit(9).cast("smallint")))
     run_batch(spark, store, batch_id="b1")
     assert summary(store) == [(JAN15, "VOICE", 1, Decimal("1.00"))]
     assert [store.read(t).count() for t in (S.STAGING_FLEXI, S.FACT_USAGE_DAILY, S.DIM_DATE, S.DIM_CALL_TYPE)] == [1] * 4

@@ -1,0 +1,413 @@
+"""Versioned tables, known keys, manifest snapshots, observed rules, pages by token and loading streams."""
+
+import datetime as dt
+import os
+import re
+
+import pytest
+from pyspark.sql import functions as F
+from test_batch import ICC_HEADER, flexi, interpreted, place, register, rows, summary, write  # noqa: F401
+
+from tollbook import schemas as S
+from tollbook.operators import facts, serving, staging, usage
+from tollbook.operators.quality import ConstraintError
+from tollbook.plans import pages
+from tollbook.plans.batch import BatchOptions, merge_months, run_all, run_batch
+from tollbook.plans.registry import Manifest
+from tollbook.sinks import pointer
+from tollbook.sinks.keys import KeyIndex, record_key
+from tollbook.sinks.pointer import ConcurrentWrite
+from tollbook.sinks.store import TableStore
+from tollbook.sources.files import list_files
+from tollbook.streaming.arrivals import load_arrivals
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def jobs(spark, action):
+    """Number of Spark jobs an action starts."""
+    spark.sparkContext.setJobGroup("counted", "counted")
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup("counted"))
+    try:
+        action()
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup("counted")) - before
+
+
+def month_rows(spark, *counts, code="A"):
+    """One summary row per (date, count)."""
+    made = [(day, 1, code, n) for day, n in counts]
+    frame = spark.createDataFrame(made, "usage_date date, call_type_key long, call_type_code string, event_count long")
+    return facts.with_month(frame).withColumns({"total_used_duration": F.lit(1).cast("decimal(18,2)"), "created_at": F.current_timestamp()})
+
+
+JAN, FEB, MAR = dt.date(2024, 1, 5), dt.date(2024, 2, 5), dt.date(2024, 3, 5)
+
+
+def counts(df):
+    return {r["usage_date"]: r["event_count"] for r in df.collect()}
+
+
+def test_a_replacement_of_several_months_is_seen_whole_or_not_at_all(spark, tmp_path, monkeypatch):
+    store = TableStore(spark, str(tmp_path / "t"))
+    store.replace(month_rows(spark, (JAN, 1), (FEB, 1)), S.USAGE_SUMMARY_DAILY)
+    begun = store.read(S.USAGE_SUMMARY_DAILY)
+    # The job fails between the months: January is written, February raises.
+    fresh = month_rows(spark, (JAN, 2), (FEB, 2), (MAR, 2))
+    failing = fresh.withColumn("event_count", F.when(F.col("usage_date") == FEB, F.raise_error(F.lit("lost")).cast("long")).otherwise(F.col("event_count")))
+    with pytest.raises(Exception, match="lost"):
+        store.replace(failing.coalesce(1), S.USAGE_SUMMARY_DAILY)
+    assert counts(store.read(S.USAGE_SUMMARY_DAILY)) == {JAN: 1, FEB: 1}
+    # It is lost after writing, before the pointer.
+    with monkeypatch.context() as patch:
+        patch.setattr(pointer, "advance", lambda *a: (_ for _ in ()).throw(RuntimeError("driver lost")))
+        with pytest.raises(RuntimeError):
+            store.replace(fresh, S.USAGE_SUMMARY_DAILY)
+    assert counts(store.read(S.USAGE_SUMMARY_DAILY)) == {JAN: 1, FEB: 1}
+    # Rows that are replaced may be read by those that replace them, and a read begun before still ends.
+    grown = store.read(S.USAGE_SUMMARY_DAILY).withColumn("event_count", F.col("event_count") + 5)
+    store.replace(grown.unionByName(month_rows(spark, (MAR, 9))), S.USAGE_SUMMARY_DAILY)
+    assert counts(store.read(S.USAGE_SUMMARY_DAILY)) == {JAN: 6, FEB: 6, MAR: 9}
+    assert counts(begun) == {JAN: 1, FEB: 1}
+    assert counts(store.read(S.USAGE_SUMMARY_DAILY, {"usage_month": [FEB.replace(day=1)]})) == {FEB: 6}
+    assert len(store.read(S.USAGE_SUMMARY_DAILY, {"usage_month": [FEB.replace(day=1)]}).inputFiles()) == 1
+    # Versions that no kept pointer names go, and those of lost writers when asked for.
+    root = tmp_path / "t" / S.USAGE_SUMMARY_DAILY.name
+    for n in range(6):
+        store.replace(month_rows(spark, (JAN, n)), S.USAGE_SUMMARY_DAILY)
+    pointer.remove_orphans(spark, str(root))
+    assert counts(store.read(S.USAGE_SUMMARY_DAILY)) == {JAN: 5, FEB: 6, MAR: 9}
+    assert len([x for x in os.listdir(root) if x.startswith("version=")]) == 1 + pointer.KEPT
+
+
+def test_a_second_writer_is_refused(spark, tmp_path):
+    root = str(tmp_path / "t")
+    store, before = TableStore(spark, root), pointer.current(spark, root)
+    pointer.advance(spark, root, before, {"": ["version=a"]})
+    with pytest.raises(ConcurrentWrite):
+        pointer.advance(spark, root, before, {"": ["version=b"]})
+    # A pointer that its writer left half written is passed over, and its number is not used again.
+    (tmp_path / "t" / pointer.FOLDER / "0000000002.json").write_text('{"folders"')
+    assert pointer.current(spark, root).versions() == {"version=a"}
+    after = pointer.advance(spark, root, pointer.current(spark, root), {"": ["version=c"]}, {"x": "y"})
+    assert after.number == 3 and pointer.current(spark, root).note == {"x": "y"} and store.root == root
+
+
+def test_months_in_many_versions_are_merged_once(spark, place):
+    folder, store, manifest = place
+    for n in range(4):
+        flexi(folder, f"frt_flexi_export_{n}.csv", f"{n},1,2024-01-1{n},voice,1,,", f"{n},2,2024-02-1{n},sms,2,,")
+    register(spark, place)
+    assert len(run_all(spark, store, BatchOptions(files=1, merge_versions=100))) == 4
+    fact = lambda: rows(store.read(S.FACT_USAGE_DAILY), "usage_date", "call_type", "event_count", "batch_id", "created_at")
+    before, versions = fact(), lambda: {k[-10:]: len(v) for k, v in store.pointer(S.FACT_USAGE_DAILY).folders.items()}
+    assert versions() == {"2024-01-01": 4, "2024-02-01": 4}
+    assert merge_months(store, manifest, dt.date(2024, 2, 20)) == ["usage_month=2024-01-01"]
+    assert versions() == {"2024-01-01": 1, "2024-02-01": 4} and fact() == before
+    assert merge_months(store, manifest, dt.date(2024, 2, 20)) == [] and fact() == before
+    # A batch that may be continued keeps its version, so that continuing replaces its rows.
+    flexi(folder, "frt_flexi_export_9.csv", "9,1,2024-02-10,voice,1,,")
+    register(spark, place)
+    run_batch(spark, store, BatchOptions(merge_versions=100), batch_id="lost")
+    ended = manifest.state().where("batch_id = 'lost'")
+    manifest.record(ended.withColumn("processed_flag", F.lit(9).cast("smallint")))
+    before = fact()
+    merge_months(store, manifest, dt.date(2024, 3, 1))
+    assert versions()["2024-02-01"] == 2
+    run_batch(spark, store, BatchOptions(merge_versions=1), batch_id="lost")
+    assert [r[:4] for r in fact()] == [r[:4] for r in before]
+    # A batch that ends merges what lies in too many versions by itself.
+    flexi(folder, "frt_flexi_export_8.csv", "8,1,2024-02-11,voice,1,,")
+    register(spark, place)
+    run_batch(spark, store, BatchOptions(merge_versions=1))
+    assert versions()["2024-02-01"] == 1 and len(fact()) == len(before) + 1
+
+
+def test_rules_are_counted_while_rows_are_written(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "t"))
+    good, bad = month_rows(spark, (JAN, 1)), month_rows(spark, (JAN, 1), (FEB, 1), code="x" * 51).cache()
+    store.replace(good, S.USAGE_SUMMARY_DAILY, checked=True)
+    bad.count()
+    with pytest.raises(ConstraintError, match=r"call_type_code over 50 \(2\)"):
+        store.replace(bad, S.USAGE_SUMMARY_DAILY, checked=True)
+    with pytest.raises(ConstraintError, match=r"event_count is null \(1\)"):
+        store.replace(good.withColumn("event_count", F.lit(None).cast("long")), S.USAGE_SUMMARY_DAILY, checked=True)
+    assert counts(store.read(S.USAGE_SUMMARY_DAILY)) == {JAN: 1}
+    root = tmp_path / "t" / S.USAGE_SUMMARY_DAILY.name
+    assert len([x for x in os.listdir(root) if x.startswith("version=")]) == 1
+    store.replace(good.where("false"), S.USAGE_SUMMARY_DAILY, checked=True)
+    plain = jobs(spark, lambda: store.replace(good, S.USAGE_SUMMARY_DAILY))
+    assert jobs(spark, lambda: store.replace(good, S.USAGE_SUMMARY_DAILY, checked=True)) == plain
+
+
+def test_known_keys_are_neither_moved_nor_read_from_staging(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "t"))
+    keys = KeyIndex(store, S.KEYS_ICC, bucket_keys=100)
+    names = ["org_call_id", "call_reference"]
+    made = lambda a, b: spark.range(a, b).select(
+        F.when(F.col("id") % 7 != 0, F.col("id").cast("string")).alias(names[0]), F.when(F.col("id") % 3 != 0, F.concat(F.lit("r"), F.col("id").cast("string"))).alias(names[1])
+    )
+    for n in range(3):
+        keys.put_batch(made(100 * n, 100 * n + 100), names, f"b{n}")
+    fresh = made(250, 400)
+    stored = {tuple(r) for n in range(3) for r in made(100 * n, 100 * n + 100).collect()}
+    want = sorted([tuple(r) for r in fresh.collect() if tuple(r) not in stored], key=str)
+    assert rows(keys.new_records(fresh, names, "b9"), *names) == want
+    # The rows of a batch don't count against it when it is continued.
+    assert keys.new_records(made(200, 300), names, "b2").count() == sum((tuple(r) not in {tuple(x) for x in made(0, 200).collect()}) for r in made(200, 300).collect())
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        for partitions in ("4", "64"):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            text = plan(keys.new_records(fresh, names, "b9"))
+            assert text.count("Exchange") == 1 and "Bucketed: true" in text
+            # The one exchange moves the new records, not the keys.
+            assert "Exchange" not in text[text.index("FileScan") - 400 :].split("FileScan")[0].split("Sort")[-1]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert not any("staging" in f for f in keys.known().inputFiles())
+    # Merging keeps the keys, moves to more buckets as they grow, and leaves open batches alone.
+    keys.merge(open_batches=["b2"])
+    assert len(keys.pointer().folders[""]) == 2 and rows(keys.new_records(fresh, names, "b9"), *names) == want
+    keys.merge()
+    assert len(keys.pointer().folders[""]) == 1 and rows(keys.new_records(fresh, names, "b9"), *names) == want
+    for n in range(3, 12):
+        keys.put_batch(made(100 * n, 100 * n + 100), names, f"b{n}")
+        keys.merge()
+    assert int(keys.pointer().note["buckets"]) == 32 and len(keys.pointer().folders[""]) <= 5
+    assert keys.new_records(made(0, 1200), names, "b99").count() == 0
+    keys.put_batch(made(5000, 5010), names, "gone")
+    keys.remove_batch("gone")
+    assert keys.new_records(made(5000, 5010), names, "b99").count() == 10
+
+
+def test_record_keys_tell_values_apart(spark):
+    made = [(None, "a"), ("a", None), ("", "a"), ("a", ""), ("1:a", ""), ("", "1:a"), (None, None), ("-", "-"), ("é", "x")]
+    frame = spark.createDataFrame(made, "x string, y string").select(record_key(["x", "y"]).alias("k"))
+    assert len({bytes(r["k"]) for r in frame.collect()}) == len(made) and frame.where("octet_length(k) = 16").count() == len(made)
+
+
+def test_icc_records_of_earlier_batches_are_known(spark, place):
+    folder, store, manifest = place
+    for n, lines in enumerate((["9,r1,15/01/2024 10:11:12,sms,1", ",,15/01/2024 10:11:12,sms,1"], ["9,r1,16/01/2024 10:11:12,sms,5", "8,r1,16/01/2024 10:11:12,sms,5", ",,17/01/2024 10:11:12,sms,9"])):
+        write(folder, f"frt_in_icc_{n}.csv", ICC_HEADER, *lines)
+        register(spark, place)
+        run_batch(spark, store)
+    assert rows(store.read(S.STAGING_ICC), "org_call_id", "day") == [("8", 16), ("9", 15), (None, 15)]
+    # A store from before the keys: they are made from staging once.
+    keys = KeyIndex(store, S.KEYS_ICC)
+    pointer.advance(spark, keys.root, keys.pointer(), {})
+    for name in os.listdir(f"{keys.root}/{pointer.FOLDER}"):
+        os.remove(f"{keys.root}/{pointer.FOLDER}/{name}")
+    assert not keys.exists()
+    write(folder, "frt_in_icc_5.csv", ICC_HEADER, "8,r1,18/01/2024 10:11:12,sms,1", "7,r1,18/01/2024 10:11:12,sms,1")
+    register(spark, place)
+    run_batch(spark, store)
+    assert rows(store.read(S.STAGING_ICC), "org_call_id", "day") == [("7", 18), ("8", 16), ("9", 15), (None, 15)]
+    assert manifest.open_batches() == set()
+
+
+def listed(spark, names):
+    return spark.createDataFrame([(f"s3://lake/frt_flexi_export_{n}.csv", dt.datetime(2024, 1, 1 + i)) for i, n in enumerate(names)], "s3_path string, modificationTime timestamp")
+
+
+def test_a_claim_reads_the_open_files_and_the_tail_only(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "t"))
+    manifest = Manifest(store, S.DEFAULT_JOB, fold_after=4)
+    manifest.register(listed(spark, "abcdef"))
+    for n in range(3):
+        claimed = manifest.claim(f"b{n}", 1)
+        manifest.finish(claimed, f"b{n}", S.SUCCESS if n < 2 else S.FAILED, "broken" if n == 2 else None)
+    now = store.pointer(S.MANIFEST)
+    assert len(now.folders["part=open"]) == len(now.folders["part=settled"]) == 1 and len(now.folders["part=log"]) < 4
+    parts = {re.search("part=([a-z]+)", f)[1] for f in manifest.open_state(now).inputFiles()}
+    assert parts == {"open", "log"}
+    flags = {r["s3_path"][-5]: r["processed_flag"] for r in manifest.state().collect()}
+    assert flags == {"a": 1, "b": 1, "c": 2, "d": 0, "e": 0, "f": 0}
+    log = manifest.log()
+    assert log.count() == 12 and log.where("error_message = 'broken'").count() == 1 and log.groupBy("id", "change_no").count().where("count > 1").isEmpty()
+    manifest.requeue()
+    manifest.fold()
+    manifest.fold()
+    assert {r["s3_path"][-5] for r in manifest.claim("b9", 9).collect()} == set("cdef") and manifest.log().count() == 17
+    manifest.register(listed(spark, "abcdefg"))
+    assert [(r["s3_path"][-5], r["id"]) for r in manifest.state().where("processed_flag = 0").collect()] == [("g", 7)]
+
+
+def test_two_jobs_that_claim_at_once_get_different_files(spark, tmp_path, monkeypatch):
+    store = TableStore(spark, str(tmp_path / "t"))
+    one, two = Manifest(store, S.DEFAULT_JOB), Manifest(store, S.DEFAULT_JOB)
+    one.register(listed(spark, "abcd"))
+    state, between = Manifest.open_state, []
+
+    def slow(self, now=None):
+        found = state(self, now)
+        if self is one and not between:
+            between.append([r["s3_path"][-5] for r in two.claim("b2", 2).collect()])
+        return found
+
+    monkeypatch.setattr(Manifest, "open_state", slow)
+    mine = [r["s3_path"][-5] for r in one.claim("b1", 2).collect()]
+    assert sorted(between[0]) == ["a", "b"] and sorted(mine) == ["c", "d"]
+    assert {r["batch_id"]: r["n"] for r in one.state().groupBy("batch_id").agg(F.count("*").alias("n")).collect()} == {"b1": 2, "b2": 2}
+
+
+def test_hot_categories_are_found_and_only_they_are_spread(spark):
+    prepared = spark.range(4000).select(
+        F.lit(JAN).alias("usage_date"), F.when(F.col("id") % 5 < 2, "HOT").otherwise(F.concat(F.lit("C"), (F.col("id") % 900).cast("string"))).alias("call_type_code"),
+        F.lit(1.0).alias("used_duration"), F.lit("one").alias("record_id"),
+    )
+    assert usage.hot_categories(prepared, 0.3) == ["HOT"] and usage.hot_categories(prepared, 0.5) == []
+    assert usage.hot_categories(prepared.where("false"), 0.1) == []
+    plain = rows(usage.daily_usage(prepared), "call_type_code", "event_count", "total_used_duration")
+    salted = usage.daily_usage(prepared, 8, ["HOT"])
+    assert rows(salted, "call_type_code", "event_count", "total_used_duration") == plain
+    assert plan(salted).count("Exchange") == 2 and "IN (HOT)" in plan(salted).replace("= HOT", "IN (HOT)")
+    assert plan(usage.daily_usage(prepared, 8, [])).count("Exchange") == 1
+
+
+def test_a_batch_salts_what_is_hot(spark, place):
+    folder, store, _ = place
+    flexi(folder, "frt_flexi_export_1.csv", *[f"{n},1,2024-01-15,{'voice' if n % 2 else 'sms' + str(n)},1,," for n in range(12)])
+    register(spark, place)
+    run_batch(spark, store, BatchOptions(salt_above=0.3))
+    assert ("VOICE", 6) in [r[1:3] for r in summary(store)] and len(summary(store)) == 7
+
+
+def paged(store, kind, limit, **filters):
+    token, out = None, []
+    while True:
+        found = pages.staging_page(store, kind, limit, token, **filters)
+        out.append(found)
+        token = found.token
+        if token is None:
+            return out
+
+
+def test_pages_by_token_equal_pages_by_offset_and_read_their_folders_only(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "t"))
+    time = F.timestamp_seconds(F.lit(1_704_000_000) + F.floor(F.col("id") / 4) * 40_000)
+    made = spark.range(60).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in S.STAGING_FLEXI.schema if f.name not in ("charging_id", "record_sequence_number", "_ingested_at", "year", "month", "day", "batch_id", "_source_file")],
+        F.when(F.col("id") % 9 != 0, (F.col("id") % 4).cast("string")).alias("charging_id"), F.col("id").cast("string").alias("record_sequence_number"),
+        F.lit("f").alias("_source_file"), F.when(F.col("id") < 56, time).alias("_ingested_at"),
+        F.when(F.col("id") % 5 != 0, 2024).alias("year"), F.when(F.col("id") % 5 != 0, (F.col("id") % 2 + 1).cast("int")).alias("month"), F.when(F.col("id") % 5 != 0, 3).alias("day"),
+        F.concat(F.lit("b"), F.floor(F.col("id") / 10).cast("string")).alias("batch_id"),
+    )
+    store.replace_partitions(made, S.STAGING_FLEXI)
+    store.append(staging.rows_per_day(store.read(S.STAGING_FLEXI)), S.DAYS_FLEXI)
+    whole = store.read(S.STAGING_FLEXI)
+    for filters in ({}, {"year": 2024, "month": 2}, {"year": 2024, "month": 1, "day": 3}):
+        every = [tuple(r) for r in serving.staging_page_flexi(whole, limit=1000, **filters).collect()]
+        for limit in (13, 60):
+            found = paged(store, pages.FLEXI, limit, include_total=True, **filters)
+            assert [tuple(r) for p in found for r in p.rows.collect()] == every
+            assert {p.total for p in found} == {len(every)} and all(p.rows.count() == limit for p in found[:-1])
+    # The second page reads the folders of its days, not those of all sixty rows.
+    read, seen = TableStore.read, []
+
+    def watched(self, table, folders=None):
+        frame = read(self, table, folders)
+        if table is S.STAGING_FLEXI:
+            seen.append(len(frame.inputFiles()))
+        return frame
+
+    first = pages.staging_page(store, pages.FLEXI, 5)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(TableStore, "read", watched)
+        pages.staging_page(store, pages.FLEXI, 5, first.token)
+    assert 0 < seen[0] < len(whole.inputFiles()) / 2
+    # Newer rows don't move the next page.
+    later = made.where("id < 3").withColumns({"_ingested_at": F.current_timestamp(), "batch_id": F.lit("new")})
+    before = rows(pages.staging_page(store, pages.FLEXI, 5, first.token).rows, "record_sequence_number")
+    store.replace_partitions(later, S.STAGING_FLEXI)
+    store.append(staging.rows_per_day(store.read_batch(S.STAGING_FLEXI, "new")), S.DAYS_FLEXI)
+    assert rows(pages.staging_page(store, pages.FLEXI, 5, first.token).rows, "record_sequence_number") == before
+    assert pages.staging_page(store, pages.ICC, include_total=True).rows.count() == 0
+    big = pages.staging_page(store, pages.FLEXI, 20_000, include_total=True)
+    assert big.rows.count() == big.total == 63 and big.token is None
+
+
+def test_a_batch_keeps_the_counts_that_pages_are_found_by(spark, place):
+    folder, store, _ = place
+    flexi(folder, "frt_flexi_export_1.csv", *[f"{n},1,2024-01-15,voice,1,," for n in range(5)], "9,9,junk,sms,1,,")
+    write(folder, "frt_in_icc_1.csv", ICC_HEADER, "9,r1,15/01/2024 10:11:12,sms,3.5")
+    register(spark, place)
+    run_batch(spark, store)
+    first = pages.staging_page(store, pages.FLEXI, 4, include_total=True)
+    rest = pages.staging_page(store, pages.FLEXI, 4, first.token)
+    assert [r["charging_id"] for p in (first, rest) for r in p.rows.collect()] == ["0", "1", "2", "3", "4", "9"]
+    assert first.total == 6 and pages.staging_page(store, pages.FLEXI, year=2024, include_total=True).total == 5
+    assert pages.staging_page(store, pages.ICC, include_total=True).total == 1
+
+
+def test_range_and_totals_come_from_one_pass(spark):
+    frame = month_rows(spark, (JAN, 3), (FEB, 4)).unionByName(month_rows(spark, (JAN, 10), code="B")).drop("usage_month")
+    for first, last in ((JAN, MAR), (MAR, MAR)):
+        both = serving.usage_summary_with_totals(frame, first, last)
+        ranges = serving.usage_summary_range(frame, first, last)
+        got = serving.split_totals(both)
+        assert [r.collect() for r in got] == [ranges.collect(), serving.usage_summary_totals(ranges).collect()]
+        assert [f.dtypes for f in got] == [ranges.dtypes, serving.usage_summary_totals(ranges).dtypes]
+    assert plan(both).count("Scan ExistingRDD") == plan(frame).count("Scan ExistingRDD") and plan(both).count("Expand") == 1
+
+
+def test_lookups_skip_files_and_row_groups(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "t"))
+    made = spark.range(40_000).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in S.STAGING_FLEXI.schema if f.name not in ("charging_id", "served_msisdn", "year", "month")],
+        (F.col("id") * 2).cast("string").alias("charging_id"), F.md5(F.col("id").cast("string")).alias("served_msisdn"), F.lit(2024).alias("year"), F.lit(1).alias("month"),
+    )
+    size = {"parquet.block.size": "65536", "parquet.page.size": "8192"}
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for key, value in size.items():
+        conf.set(key, value)
+    try:
+        store.write_batch(made.coalesce(1), S.STAGING_FLEXI, "b1")
+    finally:
+        for key in size:
+            conf.unset(key)
+
+    def scanned(column, value):
+        found = serving.find_records(store.read(S.STAGING_FLEXI), column, value)
+        hits = len(found.collect())
+        at, metrics = [found._jdf.queryExecution().executedPlan()], []
+        while at:
+            node = at.pop()
+            if "scan" in node.nodeName().lower():
+                metrics.append(node.metrics().get("numOutputRows").get().value())
+            node = node.executedPlan() if "Adaptive" in node.nodeName() else node
+            children = node.children()
+            at += [children.apply(i) for i in range(children.size())]
+        return hits, max(metrics)
+
+    spark.conf.set("spark.sql.parquet.filterPushdown", "true")
+    assert scanned("charging_id", "4242")[0] == 1 and scanned("charging_id", "4242")[1] < 20_000
+    # Values in no order: only the Bloom filters know that most row groups lack one.
+    hits, read = scanned("served_msisdn", "no such number")
+    assert hits == 0 and read < 10_000
+
+
+def test_files_are_loaded_as_they_arrive_and_after_a_restart(spark, place, tmp_path):
+    folder, store, manifest = place
+    lines = {n: [f"{n},1,2024-01-15,voice,{n},,", f"{n},2,2024-02-1{n},sms,1,,"] for n in range(1, 5)}
+    stream = lambda: load_arrivals(spark, store, str(folder), str(tmp_path / "stream"), BatchOptions(files=1)).awaitTermination(240)
+    for n in (1, 2):
+        flexi(folder, f"frt_flexi_export_{n}.csv", *lines[n])
+    assert stream()
+    assert len(summary(store)) == 3
+    # A stream that is lost after registering goes on from there.
+    for n in (3, 4):
+        flexi(folder, f"frt_flexi_export_{n}.csv", *lines[n])
+    register(spark, place)
+    assert stream() and stream()
+    whole = TableStore(spark, str(tmp_path / "whole"))
+    Manifest(whole, S.DEFAULT_JOB).register(list_files(spark, str(folder)))
+    run_batch(spark, whole)
+    assert summary(store) == summary(whole) and {r[0] for r in rows(manifest.state(), "processed_flag")} == {1}
+    assert rows(store.read(S.STAGING_FLEXI), "charging_id", "day") == rows(whole.read(S.STAGING_FLEXI), "charging_id", "day")

@@ -8,7 +8,7 @@ from tollbook.catalog import query, table
 from tollbook.functions.text import object_store_path
 from tollbook.operators import manifest as M
 from tollbook.plans.registry import Manifest
-from tollbook.schemas import DEFAULT_JOB, MANIFEST_LOG
+from tollbook.schemas import DEFAULT_JOB
 from tollbook.session import scratch_path
 from tollbook.sinks.store import TableStore
 
@@ -148,12 +148,38 @@ def manifest_compacted(spark, folder):
     last = state(spark, folder)
     pending = last.withColumns({"processed_flag": F.lit(0).cast("smallint"), "batch_id": F.lit(None).cast("string")})
     manifest = Manifest(TableStore(spark, scratch_path(spark, "store")), DEFAULT_JOB)
-    for number, changes in enumerate((pending, last), 1):
-        manifest.store.append(changes.withColumn("change_no", F.lit(number)), MANIFEST_LOG)
+    for changes in (pending, last):
+        manifest.record(changes)
     manifest.compact()
     return shown(manifest.state())
 
 
+@query("manifest_folded", f"with {STATE} select {SHOWN} from state")
+def manifest_folded(spark, folder):
+    """The same state from a snapshot and the changes after it: two changes of each row are folded, the last one is not."""
+    last = state(spark, folder)
+    pending = last.withColumns({"processed_flag": F.lit(0).cast("smallint"), "batch_id": F.lit(None).cast("string")})
+    manifest = Manifest(TableStore(spark, scratch_path(spark, "store")), DEFAULT_JOB, fold_after=2)
+    half = F.col("id") % 2 == 0
+    for changes in (pending, last.where(half), last.where(~half)):
+        manifest.record(changes)
+    return shown(manifest.state())
+
+
+@query(
+    "manifest_claims_of_a_store",
+    f"with {STATE} select id, s3_path, cast((row_number() over (order by ingest_time, id) - 1) // 40 as integer) as claim from state "
+    f"where job_name = '{DEFAULT_JOB}' and processed_flag = 0 order by ingest_time, id limit 120",
+)
+def manifest_claims_of_a_store(spark, folder):
+    """Three claims in a row, each from the open files of the snapshot and the changes after it."""
+    manifest = Manifest(TableStore(spark, scratch_path(spark, "store")), DEFAULT_JOB, fold_after=2)
+    manifest.record(state(spark, folder))
+    manifest.fold()
+    claims = [manifest.claim(f"new{n}", 40).select("id", "s3_path", F.lit(n).alias("claim")) for n in range(3)]
+    return claims[0].unionByName(claims[1]).unionByName(claims[2])
+
+
 @query(
     "path_rewrite",
     f"with {STATE} select id, regexp_replace(s3_path, '^s3://', 's3a://') as path from state",

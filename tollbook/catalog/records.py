@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tollbook.catalog import inputs as I
-from tollbook.catalog import query, table
+from tollbook.catalog import CHECKS, query, table
 from tollbook.functions import dates, text
 from tollbook.operators import clean, dimensions, shape, staging, usage
-from tollbook.schemas import FLEXI_COLUMNS, FLEXI_KEYS, ICC_COLUMNS, ICC_KEYS, ICC_SCHEMA, PROCESSED_FLEXI
+from tollbook.schemas import FLEXI_COLUMNS, FLEXI_KEYS, ICC_COLUMNS, ICC_KEYS, ICC_SCHEMA, KEYS_ICC, PROCESSED_FLEXI
 from tollbook.session import scratch_path
+from tollbook.sinks.keys import KeyIndex
 from tollbook.sinks.store import TableStore
 
 
@@ -103,6 +104,18 @@ def dedup_against_staged(spark, folder):
     return clean.drop_known(records, staged, FLEXI_KEYS).select(*FLEXI_KEYS, "record_type")
 
 
+@query("dedup_by_known_keys", CHECKS["dedup_against_staged"])
+def dedup_by_known_keys(spark, folder):
+    """The same by a table of the known keys, stored in two batches and merged."""
+    records = clean.clean_records(I.raw_flexi(spark, folder), FLEXI_COLUMNS, FLEXI_KEYS)
+    keys = KeyIndex(TableStore(spark, scratch_path(spark, "store")), KEYS_ICC)
+    staged = records.where("record_type is null")
+    for batch_id, part in (("b1", staged.where("duration is null")), ("b2", staged)):
+        keys.put_batch(part, FLEXI_KEYS, batch_id)
+    keys.merge()
+    return keys.new_records(records, FLEXI_KEYS, "b3").select(*FLEXI_KEYS, "record_type")
+
+
 @query(
     "parse_usage_date_flexi",
     f"with {I.RAW_FLEXI} select record_opening_time, {I.date_sql('record_opening_time', I.FLEXI_FORMS)} as usage_date "

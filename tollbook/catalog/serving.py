@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tollbook import schemas as S
 from tollbook.catalog import query, table
-from tollbook.operators import paging, serving
+from tollbook.operators import paging, serving, staging
+from tollbook.plans import pages
+from tollbook.session import scratch_path
+from tollbook.sinks.store import TableStore
 
 FROM, TO = date(1996, 3, 15), date(1999, 12, 31)
 RANGE = f"usage_date between date '{FROM}' and date '{TO}'"
@@ -104,6 +110,16 @@ def usage_summary_totals(spark, folder):
     return serving.usage_summary_totals(usage_summary_range(spark, folder))
 
 
+@query(
+    "usage_summary_with_totals",
+    f"with {SUMMARY} select case when grouping(call_type_code) = 0 then call_type_code end as call_type_code, "
+    "cast(sum(event_count) as bigint) as event_count, cast(sum(total_used_duration) as decimal(28,2)) as total_used_duration, "
+    f"grouping(call_type_code) = 1 as is_total from summary where {RANGE} group by grouping sets ((call_type_code), ())",
+)
+def usage_summary_with_totals(spark, folder):
+    return serving.usage_summary_with_totals(summary(spark, folder), FROM, TO)
+
+
 @query(
     "usage_trend_day",
     f"with {SUMMARY} select strftime(usage_date, '%Y-%m-%d') as period, {TOTALS} from summary where {RANGE} group by 1",
@@ -188,6 +204,47 @@ def staging_total(spark, folder):
     return serving.staging_total(flexi(spark, folder), 2024, 1, 9)
 
 
+BATCH = "concat('b', cast(day({time}) % 5 as {text}))"
+
+
+def stored_flexi(spark, folder):
+    """The staging rows in a store, written batch by batch with their counts."""
+    store = TableStore(spark, scratch_path(spark, "store"))
+    rows = flexi(spark, folder).withColumns({
+        "record_type": F.lit(None).cast("string"), "duration": F.lit(None).cast("string"),
+        "batch_id": F.expr(BATCH.format(time="_ingested_at", text="string")),
+    })
+    store.replace_partitions(rows, S.STAGING_FLEXI)
+    store.append(staging.rows_per_day(store.read(S.STAGING_FLEXI)), S.DAYS_FLEXI)
+    return store
+
+
+@query(
+    "staging_pages_by_token",
+    f"with {FLEXI} select *, cast((row_number() over ({FLEXI_ORDER}) - 1) // 120 as integer) as page, "
+    f"(select count(*) from flexi where year = 2024) as total from flexi where year = 2024 {FLEXI_ORDER} limit 480",
+)
+def staging_pages_by_token(spark, folder):
+    """Four pages, each by the token of the one before, with the total."""
+    store, token, made = stored_flexi(spark, folder), None, []
+    for number in range(4):
+        found = pages.staging_page(store, pages.FLEXI, 120, token, year=2024, include_total=True)
+        made.append(shown(found.rows).withColumns({"page": F.lit(number), "total": F.lit(found.total).cast("bigint")}))
+        token = found.token
+        if token is None:
+            break
+    return reduce(DataFrame.unionByName, made)
+
+
+@query(
+    "records_by_number",
+    f"with {FLEXI} select charging_id, record_sequence_number, record_opening_time from flexi where served_msisdn in ('7', '42')",
+)
+def records_by_number(spark, folder):
+    found = serving.find_records(stored_flexi(spark, folder).read(S.STAGING_FLEXI), "served_msisdn", "7", "42")
+    return found.select("charging_id", "record_sequence_number", "record_opening_time")
+
+
 ICC = (
     "icc as (select cast(o_orderkey as varchar) as org_call_id, cast(o_custkey as varchar) as call_reference, "
     "strftime(o_orderdate, '%d/%m/%Y') as call_sta_time, o_orderpriority as call_type, o_totalprice as used_duration, "

@@ -56,6 +56,24 @@ def daily_usage_salted(spark, folder):
     return rounded(daily(spark, folder, salt_buckets=8))
 
 
+@query(
+    "daily_usage_hot_salted",
+    "with usage as (select cast(l_shipdate as date) as usage_date, case when l_orderkey % 5 < 2 then 'BULK' else concat(l_returnflag, l_linestatus) end as code, "
+    "l_quantity from lineitem), shares as (select code, count(*) > 0.3 * (select count(*) from usage) as salted from usage group by code) "
+    "select usage_date, code as call_type_code, count(*) as event_count, round(sum(l_quantity), 2) as total_used_duration, salted "
+    "from usage join shares using (code) group by usage_date, code, salted",
+)
+def daily_usage_hot_salted(spark, folder):
+    """Two fifths of the rows are of one category: a sketch finds it, and with the others above the share it is spread."""
+    prepared = table(spark, folder, "lineitem").select(
+        F.to_date("l_shipdate").alias("usage_date"),
+        F.when(F.col("l_orderkey") % 5 < 2, "BULK").otherwise(F.concat("l_returnflag", "l_linestatus")).alias("call_type_code"),
+        F.col("l_quantity").alias("used_duration"), F.col("l_orderkey").alias("record_id"),
+    )
+    hot = usage.hot_categories(prepared, 0.3)
+    return rounded(usage.daily_usage(prepared, 8, hot)).withColumn("salted", F.col("call_type_code").isin(*hot))
+
+
 @query("daily_usage_cleaned", f"with {I.DAILY_FLEXI} select {DAILY_SHOWN} from daily")
 def daily_usage_cleaned(spark, folder):
     """From raw records: clean, write, stage, prepare, aggregate."""
@@ -200,11 +218,24 @@ def fact_append(spark, folder):
     rows = written_once(facts.with_month(facts.stored_fact(rounded(facts.curate_fact(fact(spark, folder))))), "fact")
     store = TableStore(spark, scratch_path(spark, "store"))
     for batch_id, part in (("b1", rows.where(F.col("usage_date") < SPLIT)), ("b2", rows), ("b2", rows)):
-        store.write_new_batch_rows(part, FACT_USAGE_DAILY, batch_id)
+        store.put_batch(part, FACT_USAGE_DAILY, batch_id)
     added = store.read(FACT_USAGE_DAILY)
     return added.select("date_key", "call_type_key", "usage_date", "call_type", "event_count", "total_used_duration")
 
 
+@query("fact_months_merged", f"with {FACT} {STORED} where usage_date < date '{SPLIT}' union all {STORED}")
+def fact_months_merged(spark, folder):
+    """The rows of two batches after their months were brought together, twice."""
+    rows = written_once(facts.with_month(facts.stored_fact(rounded(facts.curate_fact(fact(spark, folder))))), "fact")
+    store = TableStore(spark, scratch_path(spark, "store"))
+    for batch_id, part in (("b1", rows.where(F.col("usage_date") < SPLIT)), ("b2", rows)):
+        store.put_batch(part, FACT_USAGE_DAILY, batch_id)
+    for _ in range(2):
+        store.merge_partitions(FACT_USAGE_DAILY, store.pointer(FACT_USAGE_DAILY).folders)
+    merged = store.read(FACT_USAGE_DAILY)
+    return merged.select("date_key", "call_type_key", "usage_date", "call_type", "event_count", "total_used_duration")
+
+
 @query(
     "insert_time",
     f"with {FACT} select usage_date, call_type_code as call_type, true as stamped from fact",
@@ -214,7 +245,7 @@ def insert_time(spark, folder):
     begun = spark.sql("select current_timestamp()").first()[0]
     store = TableStore(spark, scratch_path(spark, "store"))
     rows = facts.with_month(facts.stored_fact(facts.curate_fact(fact(spark, folder))))
-    store.write_new_batch_rows(rows, FACT_USAGE_DAILY, "b1")
+    store.put_batch(rows, FACT_USAGE_DAILY, "b1", checked=True)
     stamped = F.col("created_at").between(F.lit(begun), F.current_timestamp())
     return store.read(FACT_USAGE_DAILY).select("usage_date", "call_type", stamped.alias("stamped"))
 

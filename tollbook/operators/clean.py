@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 
 from tollbook.functions.text import without_null_tokens
 from tollbook.operators.shape import business_columns, select_present
+from tollbook.session import broadcast_within
+
+#: Files of a batch whose order is sent to every executor; the order of more is joined.
+MOST_FILES = 100_000
 
 
 def normalize_strings(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
@@ -78,8 +82,8 @@ def clean_records(
     chosen = drop_all_null(normalize_strings(select_present(df, columns), columns))
     if files is None:
         return deduplicate(chosen, candidate_keys)
-    # One row per claimed file.
-    places = F.broadcast(files.select(plain_path("file").alias("_file"), F.col("place").alias("_first")))
+    # One row per claimed file, and two short texts in it.
+    places = broadcast_within(files.select(plain_path("file").alias("_file"), F.col("place").alias("_first")), MOST_FILES, files)
     placed = chosen.join(places, plain_path("_source_file") == F.col("_file"), "left").drop("_file")
     return deduplicate(placed, candidate_keys, "_first")
 

@@ -32,7 +32,7 @@ def _flag(value: int | Column) -> Column:
 
 def current_state(log: DataFrame) -> DataFrame:
     """Latest change of each manifest row."""
-    return compact_log(log).select(*MANIFEST_COLUMNS)
+    return latest_changes(log).select(*MANIFEST_COLUMNS)
 
 
 def register_files(found: DataFrame, current: DataFrame, job_name: str, at: Column | datetime | None = None) -> DataFrame:
@@ -139,7 +139,7 @@ def requeue_failed(current: DataFrame, job_name: str) -> DataFrame:
     )
 
 
-def compact_log(log: DataFrame) -> DataFrame:
+def latest_changes(log: DataFrame) -> DataFrame:
     """The log with the latest change of each row only; the state stays the same."""
     return dedup_by_keys(log, ["id"], [F.col("change_no").desc()])
 

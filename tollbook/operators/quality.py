@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tollbook.functions.dates import date_key
@@ -23,10 +24,15 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return counts.where("rows > 1")
 
 
+def broken_rules(required: Sequence[str] = (), widths: Mapping[str, int] | None = None) -> dict[str, Column]:
+    """Not-null and text-width rules by their names: true for rows that break them."""
+    broken = {f"{name} is null": F.col(name).isNull() for name in required}
+    return broken | {f"{name} over {n}": F.length(name) > n for name, n in (widths or {}).items()}
+
+
 def rule_violations(df: DataFrame, required: Sequence[str] = (), widths: Mapping[str, int] | None = None) -> DataFrame:
     """Number of rows breaking each not-null and text-width rule, found in one pass."""
-    broken = {f"{name} is null": F.col(name).isNull() for name in required}
-    broken |= {f"{name} over {n}": F.length(name) > n for name, n in (widths or {}).items()}
+    broken = broken_rules(required, widths)
     counts = df.agg(*[F.count_if(test).alias(rule) for rule, test in broken.items()])
     return counts.unpivot([], list(broken), "rule", "violations")
 
@@ -49,10 +55,38 @@ def violations(df: DataFrame, table: Table, parents: Mapping[str, DataFrame] | N
 
 def enforce(df: DataFrame, table: Table, parents: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """The frame itself, or ConstraintError if its rows break a rule of ``table``."""
-    found = [f"{row['rule']} ({row['violations']})" for row in violations(df, table, parents).collect()]
+    _refuse(table, {row["rule"]: row["violations"] for row in violations(df, table, parents).collect()})
+    return df
+
+
+def enforce_keys(df: DataFrame, table: Table, parents: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """The same for the rules between rows only, uniqueness and references; :class:`Rules` sees to the others."""
+    between = replace(table, required=(), widths={})
+    return enforce(df, between, parents) if table.unique or parents else df
+
+
+def _refuse(table: Table, counts: Mapping[str, int]) -> None:
+    found = [f"{rule} ({n})" for rule, n in counts.items() if n]
     if found:
         raise ConstraintError(f"{table.name}: {'; '.join(found)}")
-    return df
+
+
+class Rules:
+    """The not-null and width rules of a table, counted by Spark while an action goes over the rows anyway."""
+
+    def __init__(self, table: Table) -> None:
+        self.table, self.seen = table, Observation()
+        self.broken = broken_rules(table.required, table.widths)
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        """The same rows; an action over them, and over them once, fills the counts."""
+        counts = [F.count_if(test).alias(rule) for rule, test in self.broken.items()]
+        return df.observe(self.seen, *counts) if counts else df
+
+    def check(self) -> None:
+        """ConstraintError if the rows of the ended action break a rule."""
+        if self.broken:
+            _refuse(self.table, self.seen.get)
 
 
 def backfill_date_key(fact: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ def _check_page(limit: int, offset: int, most: int) -> None:
 
 def _check_range(date_from: date, date_to: date) -> None:
     if date_to < date_from:
-        raise ValueError("to must be greater than or equal to from")
+        raise ValueError(f"the range ends on {date_to}, before it begins on {date_from}")
 
 
 def filter_usage(df: DataFrame, date_from: date, date_to: date, call_type: str | None = None) -> DataFrame:
@@ -116,12 +116,35 @@ def usage_summary_totals(range_rows: DataFrame) -> DataFrame:
     )
 
 
+def usage_summary_with_totals(
+    summary: DataFrame, date_from: date, date_to: date, call_type: str | None = None
+) -> DataFrame:
+    """The rows of :func:`usage_summary_range` and, with ``is_total``, that of :func:`usage_summary_totals`, from one pass.
+
+    Without rows in the range there is no total either; :func:`split_totals` gives zeros then.
+    """
+    rows = filter_usage(summary, date_from, date_to, call_type)
+    events, duration = F.sum(F.coalesce("event_count", F.lit(0))), F.sum(F.coalesce(F.col("total_used_duration"), F.lit(0).cast("decimal(18,2)")))
+    sets = rows.groupingSets([["call_type_code"], []], "call_type_code")
+    both = sets.agg(events.alias("event_count"), duration.cast("decimal(28,2)").alias("total_used_duration"), F.grouping_id().alias("_level"))
+    return both.select("call_type_code", "event_count", "total_used_duration", (F.col("_level") == 1).alias("is_total"))
+
+
+def split_totals(both: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Range rows and grand totals out of the rows of :func:`usage_summary_with_totals`, as the two queries give them."""
+    ranges = both.where("not is_total").select(
+        "call_type_code", F.col("event_count").cast("int").alias("event_count"), F.col("total_used_duration").cast("decimal(18,2)").alias("total_used_duration")
+    )
+    order = [F.col("event_count").desc_nulls_first(), F.col("call_type_code").asc_nulls_last()]
+    return ranges.orderBy(*order), usage_summary_totals(both.where("is_total").drop("call_type_code"))
+
+
 def usage_trend(
     summary: DataFrame, date_from: date, date_to: date, grain: str = "day", call_type: str | None = None
 ) -> DataFrame:
     """Totals per day or month over a date range, oldest period first."""
     if grain not in GRAINS:
-        raise ValueError("grain must be one of: day, month")
+        raise ValueError(f"no grain {grain}; there are {' and '.join(GRAINS)}")
     period = F.date_format("usage_date", GRAINS[grain]).alias("period")
     rows = filter_usage(summary, date_from, date_to, call_type)
     return rows.groupBy(period).agg(*_totals()).orderBy(F.col("period").asc_nulls_last())
@@ -169,6 +192,11 @@ def staging_page_icc(staging: DataFrame, limit: int = 50, offset: int = 0) -> Da
     return newest_page(shown, "_ingested_at", [*ICC_KEYS, "_source_file"], limit, offset)
 
 
+def find_records(staging: DataFrame, column: str, *values: str) -> DataFrame:
+    """Staging rows with one of a few values in a lookup column; files and parts of files that can't hold them are skipped."""
+    return staging.where(F.col(column).isin(*values))
+
+
 def staging_total(
     staging: DataFrame, year: int | None = None, month: int | None = None, day: int | None = None
 ) -> DataFrame:

@@ -25,3 +25,9 @@ def stage_icc(df: DataFrame) -> DataFrame:
     """Icc staging rows."""
     timed = df.withColumn("used_duration", lenient_double("used_duration"))
     return with_date_parts(timed, icc_date("call_sta_time"))
+
+
+def rows_per_day(staged: DataFrame) -> DataFrame:
+    """Rows per day of their ingest (in UTC), date parts and batch: what pages are found by."""
+    day = F.date_from_unix_date(F.floor(F.unix_seconds("_ingested_at") / 86_400).cast("int"))
+    return staged.groupBy(day.alias("ingested_day"), "year", "month", "day", "batch_id").agg(F.count("*").alias("row_count"))

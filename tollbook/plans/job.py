@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import argparse
 import logging
+from datetime import date
 
 from tollbook import schemas as S
-from tollbook.plans.batch import SUMMARY_MODES, BatchOptions, run_all, run_batch
+from tollbook.plans.batch import SUMMARY_MODES, BatchOptions, merge_months, run_all, run_batch
 from tollbook.plans.registry import Manifest
 from tollbook.session import build_session
 from tollbook.sinks.store import TableStore
@@ -25,6 +26,7 @@ def parse_arguments(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--keep-staged", action="store_true", help="load records again that were staged before")
     parser.add_argument("--requeue", action="store_true", help="put failed files back to work first")
     parser.add_argument("--compact", action="store_true", help="compact the manifest first")
+    parser.add_argument("--merge-months-before", type=date.fromisoformat, help="bring each earlier month of the fact into one version first")
     parser.add_argument("--salt-buckets", type=int)
     parser.add_argument("--summary-mode", choices=SUMMARY_MODES, default="accumulate")
     parser.add_argument("--processed-files", type=int)
@@ -48,6 +50,8 @@ def main(arguments: list[str] | None = None) -> None:
         Manifest(store, args.job_name).requeue()
     if args.compact:
         Manifest(store, args.job_name).compact()
+    if args.merge_months_before:
+        merge_months(store, Manifest(store, args.job_name), args.merge_months_before)
     if args.input:
         Manifest(store, args.job_name).register(list_files(spark, args.input, args.pattern))
     (run_all if args.all else run_batch)(spark, store, options)
