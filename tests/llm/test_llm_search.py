@@ -9,7 +9,7 @@ import xxhash
 from llm_cases import AWKWARD, documents, rows
 from pyspark.sql import functions as F
 
-from tollbook.llm import ann, components, simhash, topk
+from tollbook.llm import ann, components, queries, simhash, topk
 
 
 def vectors(spark, rows):
@@ -144,8 +144,43 @@ def test_near_duplicates_of_awkward_rows(spark):
     assert got == sorted(plain, key=str)
     kept = simhash.drop_near_duplicates(frame)
     assert kept.columns == frame.columns
-    assert rows(kept.where("doc_id is not null"), "doc_id") == [(1,), (2,), (4,), (6,)]
-    assert simhash.near_duplicates(frame.where("false")).count() == 0
+    assert rows(kept, "doc_id", "text") == sorted([(1, AWKWARD[0][1]), (2, ""), (4, AWKWARD[6][1]), (6, AWKWARD[8][1]), (None, "seven eight nine ten")], key=str)
+    assert simhash.near_duplicates(frame.where("false")).count() == 0 and simhash.drop_near_duplicates(frame.where("false")).count() == 0
+
+
+def test_rows_that_share_an_id_are_judged_each(spark):
+    one, other, third = "alpha beta gamma delta epsilon zeta", "totally different words are said here", "and now a third text of some words"
+    made = [(5, other), (5, one), (2, one), (None, third), (None, third), (None, other.upper()), (7, third + " x y"), (9, "nine words nine"), (9, "nine words nine")]
+    frame = documents(spark, [(i, t, "en", "a") for i, t in made])
+    kept = rows(simhash.drop_near_duplicates(frame), "doc_id", "text")
+    assert kept == sorted([(5, other), (2, one), (None, third), (7, third + " x y"), (9, "nine words nine")], key=str)
+
+
+@pytest.mark.parametrize("make", [lambda i: i + (1 << 62), lambda i: f"d{i:03}", lambda i: -i])
+def test_ids_of_any_kind(spark, make):
+    texts = ["a b c d e", "a b c d e", "f g h i j", "", None, "f g h i j"]
+    ids = [make(i) for i in range(len(texts))]
+    frame = spark.createDataFrame([*zip(ids, texts), (None, "k l m n")], f"doc_id {'string' if isinstance(ids[0], str) else 'long'}, text string")
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(frame).collect()}
+    assert got == {**{i: min(a for a, b in zip(ids, texts) if (b or "") == (t or "")) for i, t in zip(ids, texts)}, None: None}
+
+
+def test_registered_fingerprints_and_components(spark, tmp_path):
+    made = [(10 + i, "".join(t)) for i, t in enumerate(["", "Ab", "a b c d", "a B c d", "É x y z w", "\t", "p q r s t u", "p q r s t u v"])]
+    documents(spark, [(i, t, "en", "a") for i, t in made]).write.parquet(f"{tmp_path}/documents.parquet")
+    prints = [(i, plain_fingerprint(t)) for i, t in made]
+    want = [(i, f"{p:016x}", c) for (i, p), c in zip(prints, plain_components(prints, 4))]
+    assert sorted(map(tuple, queries.op3(spark, str(tmp_path)).collect())) == want
+
+
+def test_guests_of_every_level_come_in_blocks(spark):
+    """Shards that are done early, too, hand each task a bounded number of guests."""
+    draw = random.Random(11)
+    fps = sorted({draw.getrandbits(10) | 7 << 50 for _ in range(900)} | {draw.getrandbits(64) for _ in range(100)})
+    members = spark.createDataFrame([("s", p - (1 << 64) * (p >> 63), i, True) for i, p in enumerate(fps)], "shard string, fp long, id long, home boolean")
+    divided = simhash._divided(members, 4, 40)
+    sizes = divided.groupBy("shard").agg(F.count_if("home").alias("home"), F.count_if(~F.col("home")).alias("guests")).collect()
+    assert max(r["home"] for r in sizes) <= 40 and max(r["guests"] for r in sizes) <= 120
 
 
 @pytest.mark.parametrize("divide", [24_576, 64])

@@ -17,14 +17,12 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tollbook.llm.common import sample, stored
+from tollbook.llm.common import sample, stored, text_of
 from tollbook.llm.components import components
 
 SHINGLE_WORDS, DISTANCE, SEED = 4, 4, 42
 #: Bounds: fingerprints that shape the tree, fingerprints meant for a shard, and those at which it is divided again.
 SAMPLE, SHARD, DIVIDE = 8192, 4096, 24_576
-#: Ids stay below this; above it are stand-ins for fingerprints whose documents all lack an id.
-NO_ID = 1 << 62
 
 
 def _bits_set(data: bytes, size: int, seed: int, window: int) -> tuple[np.ndarray, int]:
@@ -56,13 +54,13 @@ def fingerprint(text: str | None, size: int = SHINGLE_WORDS, seed: int = SEED, w
 
 
 def fingerprints(documents: DataFrame, size: int = SHINGLE_WORDS, seed: int = SEED) -> DataFrame:
-    """``doc_id, fp`` of every row; null text counts as empty."""
+    """``doc_id, fp, version`` of every row; null text counts as empty, ``version`` tells texts of one id apart."""
 
     @F.pandas_udf("long")
     def of(texts: pd.Series) -> pd.Series:
         return pd.Series([fingerprint(t, size, seed) for t in texts], dtype="int64")
 
-    return documents.select("doc_id", of(F.col("text")).alias("fp"))
+    return documents.select("doc_id", of(F.col("text")).alias("fp"), F.xxhash64(text_of()).alias("version"))
 
 
 def block_masks(distance: int, rows: int, shard: int = SHARD) -> list[int]:
@@ -191,8 +189,8 @@ def _divided(rows: DataFrame, distance: int, most: int) -> DataFrame:
     """Split shards of more than ``most`` home members by a vantage point and the median distance to it, until none is left.
 
     Members stay home on one side. Those of the near side whose ball reaches the far side visit it as guests, and
-    guests go wherever their ball reaches, so every linked pair meets in the home shard of one of the two. Where a
-    shard has very many guests they come in blocks, each with the home members.
+    guests go wherever their ball reaches, so every linked pair meets in the home shard of one of the two. Guests of a
+    shard that has very many, at whatever level it was done, come in blocks, each with the home members.
     """
     done, home = [], F.col("home")
     for level in range(64):
@@ -211,6 +209,8 @@ def _divided(rows: DataFrame, distance: int, most: int) -> DataFrame:
         sides = F.array(F.struct(F.lit("l").alias("side"), left.alias("home")), F.struct(F.lit("r").alias("side"), right.alias("home")))
         moved = mine.join(cuts, "shard").select("shard", "fp", "id", F.explode(F.filter(sides, lambda s: s["home"].isNotNull())).alias("s"))
         rows = stored(moved.select(F.concat("shard", "s.side").alias("shard"), "fp", "id", F.col("s.home").alias("home")), "simhash-divided")
+    for more in done:
+        rows = rows.unionByName(more)
     if not done:
         return rows
     guests = rows.where(~home).groupBy("shard").agg(F.ceil(F.count("*") / F.lit(most)).cast("int").alias("blocks")).where("blocks > 1")
@@ -218,10 +218,7 @@ def _divided(rows: DataFrame, distance: int, most: int) -> DataFrame:
     own = F.pmod(F.xxhash64("fp"), blocks).cast("int")
     block = F.when(home, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(own))
     dealt = rows.join(guests, "shard", "left").select("shard", F.explode(block).alias("block"), "fp", "id", "home")
-    rows = dealt.select(F.concat_ws(".", "shard", "block").alias("shard"), "fp", "id", "home")
-    for more in done:
-        rows = rows.unionByName(more)
-    return rows
+    return dealt.select(F.concat_ws(".", "shard", "block").alias("shard"), "fp", "id", "home")
 
 
 def link_fingerprints(classes: DataFrame, distance: int = DISTANCE, shard: int = SHARD, divide: int = DIVIDE) -> DataFrame:
@@ -238,6 +235,14 @@ def link_fingerprints(classes: DataFrame, distance: int = DISTANCE, shard: int =
     return components(members.groupBy("shard").applyInPandas(forest, "a long, b long"))
 
 
+def components_of(prints: DataFrame, distance: int, shard: int, divide: int) -> DataFrame:
+    """``fp, root`` of every fingerprint among ``prints``; the root is the smallest linked fingerprint, itself included."""
+    # Fingerprints themselves are the nodes, so ids may be of any type and value, or missing.
+    classes = stored(prints.groupBy("fp").agg(F.count("*").alias("n")).select("fp", F.col("fp").alias("id")), "simhash-classes")
+    roots = link_fingerprints(classes, distance, shard, divide)
+    return classes.join(roots, classes["id"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(
     documents: DataFrame, size: int = SHINGLE_WORDS, distance: int = DISTANCE, seed: int = SEED,
     shard: int = SHARD, divide: int = DIVIDE,
@@ -246,35 +251,43 @@ def near_duplicates(
 
     Words are runs without ASCII white space, A-Z lower-cased; a text of fewer words than a shingle is one shingle,
     one without words (or null) has the fingerprint 0 and links like any other. ``component_id`` is the smallest
-    id reachable over links, null only where no reachable document has one; ids are below 2**62. Equal texts share
+    id reachable over links, null only where no reachable document has one; ids may be of any type. Equal texts share
     a fingerprint, so repeated rows all return. Other columns are ignored; no rows give no rows.
     """
-    prints = stored(fingerprints(documents.select("doc_id", "text"), size, seed), "simhash-fingerprints")
-    stand_in = F.lit(NO_ID) + F.shiftrightunsigned("fp", 2)  # those that share one differ in two bits at most
-    classes = prints.groupBy("fp").agg(F.min("doc_id").alias("id")).select("fp", F.coalesce("id", stand_in).alias("id"))
-    classes = stored(classes, "simhash-classes")
-    roots = link_fingerprints(classes, distance, shard, divide)
-    found = classes.join(roots, classes["id"] == roots["node"], "left").select("fp", F.coalesce("root", "id").alias("root"))
-    named = found.select("fp", F.when(F.col("root") < NO_ID, F.col("root")).alias("component_id"))
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    prints = stored(fingerprints(documents, size, seed), "simhash-fingerprints")
+    found = stored(components_of(prints, distance, shard, divide), "simhash-components")
+    # The smallest id by fingerprint first, so that copies meet as one row.
+    ids = prints.groupBy("fp").agg(F.min("doc_id").alias("id")).join(found, "fp")
+    least = ids.groupBy("root").agg(F.min("id").alias("component_id"))
+    return prints.join(found.join(least, "root"), "fp").select("doc_id", "fp", "component_id")
 
 
 def drop_near_duplicates(documents: DataFrame, size: int = SHINGLE_WORDS, distance: int = DISTANCE, seed: int = SEED) -> DataFrame:
-    """One document of each group: the one with the smallest id, and of rows that share an id the first by text hash.
+    """One row of each group of linked texts: the one with the smallest id, then the smallest text hash.
 
-    Rows of one id share their fate, whatever their texts; documents without an id stay. All columns stay, whatever their names.
+    What goes is decided by id and text together: rows of one id with different texts stay or go each by its own group, and
+    of a group whose rows all lack an id one stays too. All columns stay, whatever their names.
     """
-    near = near_duplicates(documents, size, distance, seed)
-    gone = stored(near.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_near_gone")).distinct(), "simhash-gone")
+    prints = stored(fingerprints(documents, size, seed), "simhash-fingerprints")
+    found = stored(components_of(prints, distance, SHARD, DIVIDE), "simhash-components")
+    # Without an id a row comes last. The best row by fingerprint first, so that copies meet as one.
+    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "version")
+    best = prints.groupBy("fp").agg(F.min(row).alias("row")).join(found, "fp").groupBy("root").agg(F.min("row").alias("row"))
+    best = found.join(best, "root").select("fp", F.col("row").alias("_near_row"))
+    lost = F.col("doc_id").eqNullSafe(F.col("_near_row.doc_id")) & (F.col("version") == F.col("_near_row.version"))
+    judged = prints.join(best, "fp").select(F.col("doc_id").alias("_near_id"), F.col("version").alias("_near_version"), lost.alias("_near_best"))
+    judged = judged.groupBy("_near_id", "_near_version").agg(F.bool_or("_near_best").alias("_near_best"), F.count("*").alias("_near_rows"))
+    judged = stored(judged.where(~F.col("_near_best") | (F.col("_near_rows") > 1)), "simhash-judged")
     names = [f"_near_{i}" for i in range(len(documents.columns))]
     place = {name: names[i] for i, name in reversed(list(enumerate(documents.columns)))}
     own = documents.toDF(*names)
     doc_id, text = F.col(place["doc_id"]), F.col(place["text"])
-    kept = own.join(gone, doc_id == F.col("_near_gone"), "left_anti")
-    twice = stored(near.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_near_twice")), "simhash-twice")
+    same = doc_id.eqNullSafe(F.col("_near_id")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("_near_version"))
+    kept = own.join(judged.where("not _near_best"), same, "left_anti")
+    twice = judged.where("_near_best")
     if not twice.isEmpty():
-        # Ids that occur twice are rare, and only their rows are put in order.
-        order = Window.partitionBy(doc_id).orderBy(F.xxhash64(text), text)
-        again = kept.join(twice, doc_id == F.col("_near_twice"), "left_semi").withColumn("_near_no", F.row_number().over(order))
-        kept = kept.join(twice, doc_id == F.col("_near_twice"), "left_anti").union(again.where("_near_no = 1").drop("_near_no"))
+        # Rows that agree in id and text and were chosen: few, and only these are put in order.
+        order = Window.partitionBy(doc_id, F.xxhash64(text)).orderBy(F.xxhash64(*names))
+        again = kept.join(twice, same, "left_semi").withColumn("_near_no", F.row_number().over(order))
+        kept = kept.join(twice, same, "left_anti").union(again.where("_near_no = 1").drop("_near_no"))
     return kept.select(*[F.col(names[i]).alias(name) for i, name in enumerate(documents.columns)])
