@@ -1,5 +1,10 @@
 """Sources, sinks and the arrival stream."""
 
+import os
+import subprocess
+import sys
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,6 +20,7 @@ from tollbook.sources.jdbc import Split, jdbc_options
 from tollbook.sources.parquet import read_parquet
 from tollbook.streaming.arrivals import register_arrivals
 
+FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 ICC = "org_call_id,call_reference,call_sta_time,call_type,used_duration"
 
 
@@ -196,3 +202,31 @@ def test_broadcast_needs_few_rows(spark):
 
     assert "Hint broadcast" in plan(broadcast_within(spark.range(3), 3))
     assert "Hint broadcast" not in plan(broadcast_within(spark.range(4), 3))
+
+
+def test_scratch_is_gone_when_the_program_has_ended(tmp_path):
+    """Of stores, pages and tables written once nothing stays in the shared folder, with or without a stopped session."""
+    shared = tmp_path / "shared"
+    for stop in ("spark.stop()", ""):
+        program = f"""
+import sys
+sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})
+from tollbook import catalog
+from tollbook.session import build_session, written_once
+spark = build_session("t", "local[2]", spark__ui__enabled="false", spark__checkpoint__dir={str(shared)!r}, spark__sql__shuffle__partitions="2")
+catalog.load()
+for name in ("deep_page", "fact_append", "manifest_compacted"):
+    catalog.QUERIES[name](spark, {FOLDER!r}).count()
+written_once(spark.range(5), "kept").count()
+import os
+assert len(os.listdir({str(shared)!r})) >= 4
+{stop}
+"""
+        done = subprocess.run([sys.executable, "-c", program], capture_output=True, text=True, timeout=240)
+        assert done.returncode == 0, done.stderr[-2000:]
+        left = lambda: [name for name in os.listdir(shared) if os.listdir(shared / name)]
+        deadline = time.time() + 30
+        while left() and time.time() < deadline:
+            time.sleep(0.5)
+        # Spark itself makes an empty folder of each program.
+        assert left() == [] and len(os.listdir(shared)) <= 2

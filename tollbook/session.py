@@ -39,7 +39,7 @@ def build_session(app_name: str = "tollbook", master: str | None = None, **conf:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused folder below the checkpoint folder the cluster names.
+    """A new, unused path below the checkpoint folder the cluster names; what is written there goes when the program ends.
 
     Only a local master may fall back to a temporary folder of this machine,
     because executors on other hosts could not read it.
@@ -50,7 +50,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         root = tempfile.mkdtemp(prefix="tollbook-")
         atexit.register(shutil.rmtree, root, ignore_errors=True)
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    # The file system removes the folder when the JVM ends, whether or not the session was stopped before.
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}")
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(place)
+    files.deleteOnExit(place)
+    return f"{place.toString()}/data"
 
 
 def empty_frame(spark: SparkSession, schema: StructType) -> DataFrame:
@@ -88,15 +93,9 @@ def written_once(df: DataFrame, label: str, *folders: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.partitionBy(*folders).parquet(path)
-    atexit.register(_forget, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _forget(spark: SparkSession, path: str) -> None:
-    if spark.sparkContext._jsc is not None:  # else the session has ended before
-        remove_folder(spark, path)
-
-
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder of intermediate or replaced data, if it is there."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

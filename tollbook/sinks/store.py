@@ -10,7 +10,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,12 +43,10 @@ class TableStore:
         root, path = self.path(table), self.path(table)
         for name in table.partitioned_by if folders else ():
             path += f"/{name}=" + self._folder(folders.get(name))
-        try:
-            return self.spark.read.schema(table.schema).option("basePath", root).parquet(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        place, files = Files(self.spark).place(path)
+        if not files.globStatus(place):
             return empty_frame(self.spark, table.schema)
+        return self.spark.read.schema(table.schema).option("basePath", root).parquet(path)
 
     def pointer(self, table: Table) -> Pointer:
         """What is valid of a versioned table now."""
