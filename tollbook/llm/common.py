@@ -8,7 +8,7 @@ import types
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollbook.session import scratch_path
+from tollbook.session import written_once
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -18,19 +18,13 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write a frame below the shared folder and read it back: computed once, and short lineage."""
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """Write a frame below the shared folder and read it back: computed once, and short lineage. It goes when the program ends."""
+    return written_once(df, label)
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Checkpoint a narrow frame in the shared folder; Spark removes it once unused."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(scratch_path(df.sparkSession, "checkpoints"))
-    return df.checkpoint()
+    """The same for a step of a loop; a checkpoint would compute the frame twice."""
+    return written_once(df, "step")
 
 
 def sample(df: DataFrame, limit: int, *keys: str) -> DataFrame:
