@@ -37,7 +37,7 @@ def test_pseudo_rotation_keeps_lengths():
 def test_nearest_neighbours_recall_scores_and_ties(spark):
     data = many(800)
     frame = vectors(spark, data + data[:5] + ODD)
-    got = ann.nearest(frame, F.col("vec_id") % 20 == 0, 20, part_rows=100).collect()
+    got = ann.nearest(frame, F.col("vec_id") % 20 == 0, 20, block_rows=300).collect()
     x = np.array([v for _, v, _, _ in data])
     hits = 0
     for q in range(0, 800, 20):
