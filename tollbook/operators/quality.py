@@ -102,6 +102,12 @@ def backfill_call_type_key(fact: DataFrame, dim: DataFrame) -> DataFrame:
     return filled.select(*fact.columns)
 
 
+def empty_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Whether each table has no rows; a task stops at the first one it finds."""
+    tests = [df.limit(1).agg(F.lit(name).alias("table_name"), (F.count("*") == 0).alias("is_empty")) for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, tests)
+
+
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Row count per table."""
     counts = [df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("table_name"), "rows") for name, df in tables.items()]

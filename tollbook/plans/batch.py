@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 from tollbook import schemas as S
 from tollbook.functions.text import fixed_amount, object_store_path
 from tollbook.operators import clean, dimensions, facts, staging, usage
-from tollbook.operators.quality import enforce_keys
+from tollbook.operators.quality import empty_tables, enforce_keys
 from tollbook.plans.registry import Manifest
 from tollbook.session import kept, shuffles_sized_for
 from tollbook.sinks.files import target_partitions
@@ -116,7 +116,7 @@ def tidy(store: TableStore, manifest: Manifest, options: BatchOptions = BatchOpt
     held = store.pointer(S.FACT_USAGE_DAILY).folders
     months = [month for month, versions in held.items() if len(versions) > options.merge_versions]
     days = [t for t in (S.DAYS_FLEXI, S.DAYS_ICC) if len(store.pointer(t).folders.get("", [])) > options.merge_versions]
-    if not months and not days and len(keys.pointer().folders.get("", [])) < 2:
+    if not months and not days and len(keys.pointer().folders.get("", [])) < 4:
         return
     opened = manifest.open_batches()
     store.merge_partitions(S.FACT_USAGE_DAILY, months, opened)
@@ -229,9 +229,11 @@ def add_dimension_members(store: TableStore, daily: DataFrame, batch_id: str) ->
         dimensions.new_members(dimensions.dim_call_type(daily), types, "call_type_code"), types
     )
     stamp = {"created_at": F.current_timestamp(), "batch_id": F.lit(batch_id)}
-    for members, table in ((new_dates, S.DIM_DATE), (new_types, S.DIM_CALL_TYPE)):
-        with kept(members) as rows:
-            if not rows.isEmpty():
+    with kept(new_dates) as days, kept(new_types) as codes:
+        found = ((S.DIM_DATE, days), (S.DIM_CALL_TYPE, codes))
+        empty = {r["table_name"] for r in empty_tables({t.name: rows for t, rows in found}).where("is_empty").collect()}
+        for table, rows in found:
+            if table.name not in empty:
                 store.append(enforce_keys(rows, table).withColumns(stamp), table, checked=True)
 
 
