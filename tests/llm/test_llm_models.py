@@ -229,3 +229,22 @@ def test_packing_holds_every_id_once(spark, tokenizer):
             at += r["length"]
         assert at <= 2048
     assert packing.pack(frame.where("false"), queries.tokenizer_path()).count() == 0
+
+
+def test_registered_packing(spark, tokenizer, tmp_path):
+    draw = random.Random(8)
+    made = [r for r in AWKWARD if r[0] != 4] + [(100 + i, "tree stone river " * draw.randrange(1200), "en", "a") for i in range(40)]
+    documents(spark, made).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op9(spark, str(tmp_path)).collect()
+    ids = {}
+    for doc_id, text, *_ in made:
+        ids.setdefault(doc_id, []).append(tokenizer.encode(text or "", add_special_tokens=False).ids + [1])
+    assert sum(r["length"] for r in got) == sum(len(x) for v in ids.values() for x in v) and all(r["length"] > 0 for r in got)
+    for r in got:
+        pieces = [x[r["start"] : r["start"] + r["length"]] for x in ids[r["doc_id"]] if len(x) == r["doc_tokens"]]
+        assert r["ids_crc32"] in {zlib.crc32(np.array(p, "<u4").tobytes()) for p in pieces}
+    ends = {}
+    for r in sorted(got, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == ends.get(r["sequence_id"], 0)
+        ends[r["sequence_id"]] = r["offset"] + r["length"]
+    assert max(ends.values()) <= 2048

@@ -145,7 +145,7 @@ class Tagger:
         np.add.at(out["chars"], ids.T, by_char)
         return float((norm - gold).mean()), out
 
-    def fit(self, ids: np.ndarray, tags: np.ndarray, steps: int = 300, batch: int = 48, rate: float = 0.01) -> "Tagger":
+    def fit(self, ids: np.ndarray, tags: np.ndarray, steps: int = 300, batch: int = 128, rate: float = 0.01) -> "Tagger":
         """Adam over random batches, gradients cut at a norm of 5."""
         rng = np.random.default_rng(self.seed)
         mean = {k: np.zeros_like(p) for k, p in self.params.items()}

@@ -34,9 +34,12 @@ WRITTEN = [
     ("@", "."), (" [at] ", " [dot] "), (" (at) ", " (dot) "), ("(at)", "."), (" [at] ", "."), (" at ", " dot "), ("{at}", "{dot}"),
     (" <at> ", "."), (" AT ", " DOT "), ("_at_", "_dot_"), (" at ", "."), ("AT", "DOT"), (" {at} ", " {dot} "), ("<at>", "<dot>"),
 ]
+ENDINGS = ["com", "org", "net", "de", "fr", "es", "io", "info", "co.uk", "eu"]
 WINDOW, STEP = 96, 48
-#: Bounds of the training sample: windows around spans, and windows around other triggers.
-SPANS, OTHERS, STEPS = 3000, 1500, 400
+#: Bounds of the training sample: windows around spans, and windows around decoys and other triggers.
+SPANS, OTHERS, STEPS = 3000, 3000, 450
+#: Ways in which each span is written for training, the first one as it is.
+VARIANTS = 8
 
 
 def luhn(digits: str) -> bool:
@@ -78,40 +81,90 @@ def find_base(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def rewrite(span: str, kind: int, draw: int) -> str:
-    """A span the way it is written to get past filters; ``draw`` chooses, and 0 leaves it."""
+def made_up(draw: int) -> str:
+    """A word of two or three syllables, so that names and hosts are not only those of the documents."""
+    out = ""
+    for _ in range(2 + draw % 2):
+        out += "bcdfghklmnprstvwz"[draw % 17] + "aeiou"[draw // 17 % 5] + ["", "", "n", "r", "l", "s"][draw // 85 % 6]
+        draw = draw * 48271 % 2147483647
+    return out
+
+
+def rewrite(span: str, kind: int, draw: int, words: list[str] | None = None) -> str:
+    """A span the way it is written to get past filters; ``draw`` chooses. Of ``words``, if given, names and hosts are made."""
     if kind == 0:
+        if words and draw // 97 % 3:
+            one, two, host = (words[draw // n % len(words)].lower() if draw // n % 3 else made_up(draw // n + n) for n in (5, 29, 211))
+            name = [one, f"{one}.{two}", f"{one}_{two[:3]}", f"{one[0]}.{two}", f"{one}{draw % 90 + 10}", f"{one}-{two}"][draw // 7 % 6]
+            span = f"{name}@{['', 'mail.', f'host{draw % 10}.', f'{two}-'][draw // 11 % 4]}{host}.{ENDINGS[draw // 13 % len(ENDINGS)]}"
         at, dot = WRITTEN[draw % len(WRITTEN)]
-        return span.replace(".", dot).replace("@", at)
+        name, _, host = span.partition("@")
+        return name + at + host.replace(".", dot)
     if kind == 1:
-        return span.replace(".", ["." , " . ", "[.]", "(.)", "[.]"][draw % 5])
+        return span.replace(".", ["." , " . ", "[.]", "(.)", "[.]", " [.] "][draw % 6])
     if kind == 2:
         digits = _digits(span)
-        gap = ["", "", ".", "/", "_"][draw % 5]
+        gap = ["", "", ".", "/", "_", " / "][draw % 6]
         return gap.join(digits[i : i + 4] for i in range(0, len(digits), 4)) if gap else span
-    return span if draw % 5 < 2 else re.sub(r"^\+[0-9]+[ .-]?", "", span) if draw % 5 < 4 else "00" + span[1:]
-
-
-def examples(text: str, draw: int) -> list[tuple[str, str, bool]]:
-    """Windows with a letter per character that names its tag, and whether a span is meant. Each is cut from the text."""
+    # Other digits than the given ones, which may all be of one exchange.
+    digits = f"{zlib.crc32(span.encode()) * draw % 10**10:010}"
+    area, rest = digits[:3], digits[3:]
+    forms = [
+        span, re.sub(r"^\+[0-9]+[ .-]?", "", span), "00" + span[1:], f"0{area} {rest}", f"0{area}/{rest}", f"({area}) {rest[:3]}-{rest[3:]}",
+        f"{area}-{rest[:3]}-{rest[3:]}", f"00{draw % 80 + 20} {area} {rest[:6]}", f"0{area} {rest[:3]} {rest[3:]}", f"{area}.{rest[:3]}.{rest[3:]}",
+    ]
+    return forms[draw % len(forms)]
+
+
+def decoy(draw: int, word: str) -> str:
+    """What looks like personal data in part and is none: dates, versions, sums, times, and "at" and "dot" in prose."""
+    a, b, c = draw % 97, draw // 97 % 89, draw // 8633 % 83
+    forms = [
+        f"{a % 28 + 1:02}.{b % 12 + 1:02}.{1940 + c}", f"{a % 28 + 1}.{b % 12 + 1}.{c}", f"{1940 + c}-{b % 12 + 1:02}-{a % 28 + 1:02}", f"version {a % 9}.{b}.{c % 9}",
+        f"{a % 24}:{b % 60:02}", f"{a},{b * 11 % 1000:03},{c * 12 % 1000:03}", f"{a}.{c}", f"no {a}{b}{c}{a}", f"at {word}", f"{word} at the dot", "dot dot", f"at {a % 12 + 1} pm",
+        f"at {word}.{ENDINGS[b % len(ENDINGS)]}", f"section {a}.{b}.{c}", f"{a}/{b}/{1940 + c}", f"({a}) {word}", f"id {a}{b}{c}", f"look at {word} dot {word}", f"AT {word.upper()}", f"{a}-{b}-{c}",
+    ]
+    return forms[draw // 7 % len(forms)]
+
+
+def examples(text: str, draw: int, variants: int = VARIANTS) -> list[tuple[str, str, bool]]:
+    """Windows with a letter per character that names its tag, and whether a span is meant. Each is cut from the text.
+
+    Every span that overlaps no other is written in ``variants`` ways. Windows without one show a trigger of every cell that
+    holds any, and as many decoys as there are spans, two at least.
+    """
     out, spans = [], find_base(text)
+    words = re.findall("[A-Za-z]{2,12}", text[:4000]) or ["word"]
     for n, (start, kind, end) in enumerate(spans):
-        if any(start < b and a < end for a, _, b in spans[:n] + spans[n + 1 :]):
+        if any(start < b and a < end for a, _, b in spans[max(0, n - 20) : n] + spans[n + 1 : n + 21]):
             continue
-        seed = zlib.crc32(f"{draw}:{start}".encode())
-        written = rewrite(text[start:end], kind, seed)
-        left = seed // 7 % max(1, WINDOW - len(written))
-        before, after = text[max(0, start - left) : start], text[end : end + WINDOW]
-        marks = [(a, k, b) for a, k, b in spans if b <= start or a >= end]
-        tags = _tags(max(0, start - left), start, marks) + _mark(len(written), kind) + _tags(end, end + len(after), marks)
-        out.append(((before + written + after)[:WINDOW], tags[:WINDOW], True))
-    for m in TRIGGER.finditer(text):
+        for variant in range(variants):
+            seed = zlib.crc32(f"{draw}:{start}:{variant}".encode())
+            written = text[start:end] if variant == 0 else rewrite(text[start:end], kind, seed, words)
+            if kind != 3 and variant and find_base(written) and written == text[start:end]:
+                continue
+            # Of every other way the word before it goes, so that what people write in front is no condition.
+            stop = start if variant % 2 == 0 else text.rfind(" ", 0, max(0, start - 1)) + 1
+            begin = max(0, stop - seed // 7 % max(1, WINDOW - len(written)))
+            before, after = text[begin:stop], text[end : end + WINDOW]
+            marks = [(a, k, b) for a, k, b in spans if b <= start or a >= end]
+            tags = _tags(begin, stop, marks) + _mark(len(written), kind) + _tags(end, end + len(after), marks)
+            out.append(((before + written + after)[:WINDOW], tags[:WINDOW], True))
+    cells = {m.start() // STEP: m for m in TRIGGER.finditer(text)}
+    for m in cells.values():
         if not any(a - 8 < m.start() < b + 8 for a, _, b in spans):
             begin = max(0, m.start() - zlib.crc32(f"{draw}:{m.start()}".encode()) % WINDOW)
             part = text[begin : begin + WINDOW]
             out.append((part, _tags(begin, begin + len(part), spans), False))
-            if len(out) > 2 * len(spans) + 4:
-                break
+    for n in range(max(2, len(spans))):
+        seed = zlib.crc32(f"{draw}:decoy:{n}".encode())
+        at = seed % (len(text) + 1)
+        at = text.rfind(" ", 0, at) + 1
+        left = seed // 11 % (WINDOW // 2)
+        put = decoy(seed, words[seed // 5 % len(words)].lower()) + " "
+        before, after = text[max(0, at - left) : at], text[at : at + WINDOW]
+        tags = _tags(max(0, at - left), at, spans) + "a" * len(put) + _tags(at, at + len(after), spans)
+        out.append(((before + put + after)[:WINDOW], tags[:WINDOW], False))
     return out
 
 
@@ -128,14 +181,15 @@ def _tags(begin: int, end: int, spans) -> str:
 
 
 def train(documents: DataFrame, spans: int = SPANS, others: int = OTHERS, steps: int = STEPS) -> Tagger | None:
-    """Learn from windows of texts that hold a trigger: at most ``spans`` with a span and ``others`` without, by hash."""
+    """Learn from windows of texts with a digit, an ``@`` or the words "at" or "dot": at most ``spans`` with a span and
+    ``others`` without, by hash."""
 
     def cut(batches):
         for frame in batches:
             rows = [e for t in frame["text"] for e in examples(t, zlib.crc32(t.encode()))]
             yield pd.DataFrame(rows, columns=["part", "tags", "span"])
 
-    texts = documents.select("text").where(F.regexp_like("text", F.lit("[0-9@]")))
+    texts = documents.select("text").where(F.regexp_like("text", F.lit(r"[0-9@]|(?i:\b(?:at|dot)\b)")))
     found = stored(texts.mapInPandas(cut, "part string, tags string, span boolean").distinct(), "pii-windows")
     chosen = [sample(found.where(test), most, "part", "tags") for test, most in (("span", spans), ("not span", others))]
     windows = pd.concat([c.select("part", "tags").toPandas() for c in chosen])
@@ -182,12 +236,35 @@ def spans_of(tags: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int]]:
     return out
 
 
+#: Written-out addresses: a name, "at" or its sign, and labels divided by dots or the word, with few other signs between.
+_GAP = r"(?:[\s\W_]{0,3})"
+ADDRESS = re.compile(rf"(?i)[a-z0-9](?:[a-z0-9.%+_-]|{_GAP}dot{_GAP}(?=[a-z0-9]))*?{_GAP}(?:@|at){_GAP}[a-z0-9][a-z0-9-]*(?:{_GAP}(?:\.|dot){_GAP}[a-z0-9-]+)+")
+
+
 def plausible(span: str, kind: int) -> bool:
-    """Whether an added span holds enough to be of its kind."""
-    digits = len(_digits(span))
+    """Whether an added span holds what its kind must."""
+    digits = _digits(span)
     if kind == 0:
-        return len(span) >= 8 and bool(re.search("@|at", span, re.I)) and bool(re.search(r"\.|dot", span, re.I)) and not span[-1].isspace()
-    return (7 if kind == 1 else 12 if kind == 2 else 9) <= len(span) and (4 <= digits <= 12 if kind == 1 else 12 <= digits <= 19 if kind == 2 else 9 <= digits <= 15)
+        return len(span) >= 8 and ADDRESS.fullmatch(span) is not None
+    if kind == 1:
+        parts = re.findall("[0-9]+", span)
+        return len(parts) == 4 and all(len(p) < 4 and int(p) <= 255 for p in parts)
+    if kind == 2:
+        return 12 <= len(digits) <= 19 and luhn(digits)
+    return 9 <= len(digits) <= 15 and re.fullmatch(r"[+(]?[0-9(][0-9()\s./-]*[0-9]", span) is not None
+
+
+def whole_words(text: str, start: int, end: int) -> tuple[int, int]:
+    """A span widened to the ends of the words that it cuts, and without blanks at its ends."""
+    while start < end and text[start].isspace():
+        start += 1
+    while end > start and text[end - 1].isspace():
+        end -= 1
+    while start > 0 and text[start - 1].isalnum() and text[start].isalnum():
+        start -= 1
+    while end < len(text) and text[end].isalnum() and text[end - 1].isalnum():
+        end += 1
+    return start, end
 
 
 def added_spans(tagger: Tagger, texts: list[str], base: list[list[tuple[int, int, int]]]) -> list[list[tuple[int, int, int]]]:
@@ -209,7 +286,11 @@ def added_spans(tagger: Tagger, texts: list[str], base: list[list[tuple[int, int
             continue
         places = np.concatenate([c * STEP + np.arange(len(mine[c])) for c in order])
         for start, kind, end in spans_of(np.concatenate([mine[c] for c in order]), places):
-            if plausible(text[start:end], kind) and not any(start < b and a < end for a, _, b in taken):
+            start, end = whole_words(text, start, end)
+            address = ADDRESS.search(text, start, end) if kind == 0 else None
+            if address:  # words before or after it go
+                start, end = address.span()
+            if plausible(text[start:end], kind) and not any(start < b and a < end for a, _, b in [*taken, *out[n][-1:]]):
                 out[n].append((start, kind, end))
     return out
 
