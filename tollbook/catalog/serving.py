@@ -65,6 +65,16 @@ def usage_daily_page(spark, folder):
     return serving.usage_daily_page(fact(spark, folder), dim(spark, folder), FROM, TO, limit=50, offset=75)
 
 
+@query(
+    "usage_daily_page_and_total",
+    f"with {FACT} select *, (select count(*) from daily where {RANGE}) as total from daily where {RANGE} "
+    "order by usage_date desc nulls first, call_type_code nulls last, event_count nulls last, total_used_duration nulls last limit 20 offset 40",
+)
+def usage_daily_page_and_total(spark, folder):
+    """A page and the number of all rows from one call."""
+    return serving.usage_daily_page(fact(spark, folder), dim(spark, folder), FROM, TO, limit=20, offset=40, include_total=True)
+
+
 @query("usage_daily_total", f"with {FACT} select count(*) as total from daily where {RANGE}")
 def usage_daily_total(spark, folder):
     return serving.usage_daily_total(fact(spark, folder), dim(spark, folder), FROM, TO)
@@ -252,12 +262,8 @@ ICC = (
 )
 
 
-@query(
-    "staging_page_icc",
-    f"with {ICC} select * from icc order by _ingested_at desc, org_call_id, call_reference limit 200 offset 1000",
-)
-def staging_page_icc(spark, folder):
-    icc = table(spark, folder, "orders").select(
+def icc_rows(spark, folder):
+    return table(spark, folder, "orders").select(
         F.col("o_orderkey").cast("string").alias("org_call_id"),
         F.col("o_custkey").cast("string").alias("call_reference"),
         F.date_format("o_orderdate", "dd/MM/yyyy").alias("call_sta_time"),
@@ -266,7 +272,22 @@ def staging_page_icc(spark, folder):
         F.col("o_orderstatus").alias("_source_file"),
         F.col("o_orderdate").cast("timestamp").alias("_ingested_at"),
     )
-    return shown(serving.staging_page_icc(icc, limit=200, offset=1000))
+
+
+@query(
+    "staging_page_icc",
+    f"with {ICC} select * from icc order by _ingested_at desc, org_call_id, call_reference limit 200 offset 1000",
+)
+def staging_page_icc(spark, folder):
+    return shown(serving.staging_page_icc(icc_rows(spark, folder), limit=200, offset=1000))
+
+
+@query(
+    "staging_page_icc_and_total",
+    f"with {ICC} select *, (select count(*) from icc) as total from icc order by _ingested_at desc, org_call_id, call_reference limit 30 offset 60",
+)
+def staging_page_icc_and_total(spark, folder):
+    return shown(serving.staging_page_icc(icc_rows(spark, folder), limit=30, offset=60, include_total=True))
 
 
 @query(

@@ -72,13 +72,19 @@ def usage_daily_page(
     call_type: str | None = None,
     limit: int = 50,
     offset: int = 0,
+    include_total: bool = False,
 ) -> DataFrame:
-    """Fact rows with their category, newest date first."""
+    """Fact rows with their category, newest date first; with ``include_total`` each says how many there are on all pages."""
     _check_page(limit, offset, MAX_USAGE_PAGE)
     rows = _usage_daily(fact, dim, date_from, date_to, call_type)
     columns = ["usage_date", "call_type_code", "event_count", "total_used_duration"]
     order = [F.col("usage_date").desc_nulls_first(), *[F.col(name).asc_nulls_last() for name in columns[1:]]]
-    return page(rows.select(*columns), order, limit, offset)
+    return _with_total(page(rows.select(*columns), order, limit, offset), rows, include_total)
+
+
+def _with_total(shown: DataFrame, rows: DataFrame, include_total: bool) -> DataFrame:
+    """The rows of a page, and beside them the number of all rows, counted in the same query."""
+    return shown.withColumn("total", rows.agg(F.count("*")).scalar()) if include_total else shown
 
 
 def usage_daily_total(
@@ -176,20 +182,23 @@ def staging_page_flexi(
     day: int | None = None,
     limit: int = 50,
     offset: int = 0,
+    include_total: bool = False,
 ) -> DataFrame:
-    """Flexi staging rows, last ingested first; absent date parts read as NULL."""
+    """Flexi staging rows, last ingested first; absent date parts read as NULL, ``include_total`` as for the usage page."""
     _check_page(limit, offset, MAX_STAGING_PAGE)
     rows = filter_staging(staging, year, month, day)
     absent = {name: F.lit(None).cast("int") for name in ("year", "month", "day") if name not in rows.columns}
     shown = rows.withColumns(absent).select(*STAGING_FLEXI_COLUMNS)
-    return newest_page(shown, "_ingested_at", [*FLEXI_KEYS, "_source_file"], limit, offset)
+    found = newest_page(shown, "_ingested_at", [*FLEXI_KEYS, "_source_file"], limit, offset)
+    return _with_total(found, rows, include_total)
 
 
-def staging_page_icc(staging: DataFrame, limit: int = 50, offset: int = 0) -> DataFrame:
-    """Icc staging rows, last ingested first."""
+def staging_page_icc(staging: DataFrame, limit: int = 50, offset: int = 0, include_total: bool = False) -> DataFrame:
+    """Icc staging rows, last ingested first; ``include_total`` as for the usage page."""
     _check_page(limit, offset, MAX_STAGING_PAGE)
     shown = staging.select(*STAGING_ICC_COLUMNS)
-    return newest_page(shown, "_ingested_at", [*ICC_KEYS, "_source_file"], limit, offset)
+    found = newest_page(shown, "_ingested_at", [*ICC_KEYS, "_source_file"], limit, offset)
+    return _with_total(found, staging, include_total)
 
 
 def find_records(staging: DataFrame, column: str, *values: str) -> DataFrame:
