@@ -144,6 +144,10 @@ def test_mixing_equals_plain_budgets(spark, share, epochs):
     assert {r["doc_id"]: (r["epochs"], r["prefix_tokens"]) for r in got.collect()} == plain
 
 
+def test_slices_follow_the_size_of_a_leaf():
+    assert [mixing.slice_digits(n) for n in (0, 1, 16, 17, 256, 257, 10**6, 10**10)] == [1, 1, 1, 1, 1, 2, 3, 5]
+
+
 def test_mixing_takes_awkward_rows(spark):
     frame = documents(spark, AWKWARD)
     none = mixing.select_tokens(frame.where("false"), F.lit("d"), queries.mix_weights(), F.sum("supply"), 2)

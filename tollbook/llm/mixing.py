@@ -8,14 +8,14 @@ seeded order. Everything is built-in Spark expressions, and whole numbers make t
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tollbook.llm.common import stored, text_of
 
 LEVELS = ("domain", "lang", "source")
-#: Hexadecimal digits of the order key that name a slice of a leaf; prefix sums run over slices, then inside one.
-SLICE_DIGITS = 3
 
 
 def count_tokens(text: Column) -> Column:
@@ -74,16 +74,21 @@ def leaf_budgets(leaves: DataFrame, budget: Column, max_epochs: int, weights: di
     return leaves.join(above, list(LEVELS)).select(*LEVELS, "supply", epochs.alias("epochs"), rest.alias("rest"))
 
 
-def leaf_cutoffs(docs: DataFrame, budgets: DataFrame, seed: int) -> DataFrame:
+def slice_digits(rows: int) -> int:
+    """Hexadecimal digits of the order key that name a slice of a leaf: about as many slices as rows in each."""
+    return max(1, math.ceil(math.log(max(1, rows), 16) / 2))
+
+
+def leaf_cutoffs(docs: DataFrame, budgets: DataFrame, seed: int, digits: int) -> DataFrame:
     """The last order key that each leaf's prefix reaches, and the tokens before it: ``..., cutoff, before``.
 
-    Sums over slices of the keys find the slice that holds the end, and only its rows are put in order, so a
-    leaf with a third of all rows is never sorted in one task.
+    Sums over slices of the keys, by their first ``digits``, find the slice that holds the end, and only its rows are put in
+    order, so of a leaf with a third of all rows a task sorts about the root of their number.
     """
     leaf = list(LEVELS)
     keyed = docs.join(budgets, leaf).where("rest > 0").select(
         *leaf, "rest", "tokens", order_key(seed, F.col("epochs"), F.col("doc_id")).alias("key")
-    ).withColumn("slice", F.substring("key", 1, SLICE_DIGITS))
+    ).withColumn("slice", F.substring("key", 1, digits))
     slices = keyed.groupBy(*leaf, "rest", "slice").agg(F.sum("tokens").alias("tokens"))
     by_slice = Window.partitionBy(*leaf).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     ends = slices.withColumn("before", F.coalesce(F.sum("tokens").over(by_slice), F.lit(0))).where(
@@ -116,9 +121,10 @@ def plan_mix(
         ),
         "mix-documents",
     )
-    leaves = stored(narrow.groupBy(*LEVELS).agg(F.sum("tokens").alias("supply")), "mix-leaves")
+    leaves = stored(narrow.groupBy(*LEVELS).agg(F.sum("tokens").alias("supply"), F.count("*").alias("documents")), "mix-leaves")
+    largest = leaves.agg(F.coalesce(F.max("documents"), F.lit(0))).first()[0]
     budgets = stored(leaf_budgets(leaves, budget, max_epochs, weights), "mix-budgets")
-    plan = budgets.join(leaf_cutoffs(narrow, budgets, seed), list(LEVELS), "left")
+    plan = budgets.join(leaf_cutoffs(narrow, budgets, seed, slice_digits(largest)), list(LEVELS), "left")
     return stored(plan, "mix-plan"), narrow
 
 
