@@ -52,6 +52,28 @@ def test_nearest_neighbours_recall_scores_and_ties(spark):
     assert ann.nearest(frame.where("vec_id >= 900"), F.lit(True)).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["double", "float"])
+def test_registered_neighbours_equal_brute_force_in_a_small_table(spark, tmp_path, kind):
+    data = [(i, [float(np.float32(c)) for c in v]) for i, v, *_ in many(60, 8)] + [(-20, [0.5] * 8), (1000, [0.0] * 8), (2000, None)]
+    spark.createDataFrame(data, f"vec_id long, embedding array<{kind}>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = sorted(map(tuple, queries.op2(spark, str(tmp_path)).select("query_id", "rank", "vec_id", "score").collect()))
+    want = []
+    for q, v in data:
+        if q % 20 == 0 and v and any(v):
+            scored = [(sum(a * b for a, b in zip(v, w)), i) for i, w in data if i != q and w and any(w)]
+            want += [(q, n + 1, i, s) for n, (s, i) in enumerate(sorted(scored, key=lambda p: (-round(p[0], 12), p[1]))[:20])]
+    assert [g[:3] for g in got] == [w[:3] for w in sorted(want)]
+    assert np.allclose([g[3] for g in got], [w[3] for w in sorted(want)], rtol=1e-14)
+
+
+def test_copies_of_a_vector_don_t_crowd_out_others(spark):
+    draw = np.random.default_rng(9)
+    one, data = draw.normal(size=16).tolist(), [(i, v.tolist(), "", "") for i, v in enumerate(draw.normal(size=(3000, 16)))]
+    data = [(i, one if i % 3 == 0 else v, "", "") for i, v, *_ in data] + [(3, one, "", "")] * 500
+    got = ann.nearest(vectors(spark, data), F.col("vec_id") == 3, 20, block_rows=700).collect()
+    assert [(r["rank"], r["vec_id"]) for r in sorted(got, key=lambda r: r["rank"])] == [(n + 1, i) for n, i in enumerate([0, *range(6, 63, 3)])]
+
+
 def test_few_candidates_are_all_found(spark):
     draw = np.random.default_rng(5)
     # Groups of one length each: alone small, and beside a large one; one id has many vectors of its own.

@@ -137,8 +137,9 @@ def exact_top(vectors: DataFrame, is_query: Column, top: int = 5, scale: int = 2
                 if centres is None:
                     yield part.assign(pivot=-1, far=np.inf)
                     continue
-                far = np.sqrt(np.maximum(0, (x**2).sum(1)[:, None] - 2 * x @ centres.T + (centres**2).sum(1)[None, :]))
-                pivot = far.argmin(1)
+                # In blocks, so that the distances to thousands of pivots never stand side by side for a whole batch.
+                half = (centres**2).sum(1) / 2
+                pivot = np.concatenate([(half[None, :] - x[at : at + 256] @ centres.T).argmin(1) for at in range(0, len(x), 256)])
                 yield part.assign(pivot=pivot.astype(np.int32), far=np.linalg.norm(x - centres[pivot], axis=1))
 
     shape = "vec_id long, v array<double>, seeks boolean, dim int"
