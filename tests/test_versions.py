@@ -96,6 +96,17 @@ def test_a_second_writer_is_refused(spark, tmp_path):
     assert after.number == 3 and pointer.current(spark, root).note == {"x": "y"} and store.root == root
 
 
+def test_versions_of_a_batch_are_told_from_those_of_similar_names(spark, tmp_path):
+    names = ["2024-01", "202401", "2024_01", "b1", "b10", "", "é/{x}"]
+    assert len({pointer.label_of(n) for n in names}) == len(names)
+    assert not any(pointer.new_version(a).startswith(pointer.label_of(b)) for a in names for b in names if a != b)
+    store = TableStore(spark, str(tmp_path / "t"))
+    for n, name in enumerate(names):
+        store.put_batch(month_rows(spark, (JAN, n)).withColumn("call_type", F.lit("x")).withColumn("date_key", F.lit(1)), S.FACT_USAGE_DAILY, name)
+    store.remove_batch(S.FACT_USAGE_DAILY, "2024-01")
+    assert rows(store.read(S.FACT_USAGE_DAILY), "batch_id") == sorted([(n,) for n in names[1:]], key=str)
+
+
 def test_months_in_many_versions_are_merged_once(spark, place):
     folder, store, manifest = place
     for n in range(4):

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tollbook.schemas import Table
 from tollbook.session import empty_frame, remove_folder
 from tollbook.sinks import pointer
-from tollbook.sinks.pointer import Pointer, new_version
+from tollbook.sinks.pointer import Pointer, label_of, new_version
 from tollbook.sinks.store import TableStore
 
 #: Keys of a bucket: a table begins with so few buckets, and gets four times as many beyond so many keys a bucket.
@@ -112,7 +112,7 @@ class KeyIndex:
     def merge(self, open_batches: Collection[str] = ()) -> None:
         """Merge the latest versions that together are as large as the one before them; those of open batches stay."""
         now = self.pointer()
-        opened = tuple(new_version(b).rpartition("-")[0] + "-" for b in open_batches)
+        opened = tuple(map(label_of, open_batches))
         held = now.folders.get("", [])
         stay, ended = [v for v in held if v.startswith(opened)], [v for v in held if not v.startswith(opened)]
         if len(ended) < 2:

@@ -17,7 +17,7 @@ from tollbook.operators.quality import Rules
 from tollbook.schemas import Table
 from tollbook.session import empty_frame, remove_folder
 from tollbook.sinks import pointer
-from tollbook.sinks.pointer import Files, Pointer, new_version
+from tollbook.sinks.pointer import Files, Pointer, label_of, new_version
 
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
@@ -142,7 +142,7 @@ class TableStore:
 
     @staticmethod
     def _without_batch(now: Pointer, batch_id: str) -> dict[str, list[str]]:
-        mine = new_version(batch_id).rpartition("-")[0] + "-"
+        mine = label_of(batch_id)
         return {part: [v for v in held if not v.startswith(mine)] for part, held in now.folders.items()}
 
     def put_batch(self, df: DataFrame, table: Table, batch_id: str, checked: bool = False) -> None:
@@ -168,7 +168,7 @@ class TableStore:
         so repeating it changes nothing. Returns the partitions that were merged.
         """
         now = self.pointer(table)
-        kept = tuple(new_version(batch_id).rpartition("-")[0] + "-" for batch_id in stay)
+        kept = tuple(map(label_of, stay))
         old = {part: [v for v in now.folders.get(part, []) if not v.startswith(kept)] for part in parts}
         old = {part: held for part, held in old.items() if len(held) > 1}
         if not old:
