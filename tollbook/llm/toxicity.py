@@ -11,7 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,8 +25,8 @@ ANCHORS, CANDIDATES = 32, 8192
 #: Terms of so many standard errors are held by the plain penalty, weaker ones by the fourth power of what they lack.
 ERRORS, PENALTY = 5.0, 0.2
 FACTORS, STEPS, BATCH, SEED = 8, 1000, 256, 1
-#: Counts of pairs that a task hands on at once.
-CELLS = 50_000
+#: Counts of pairs that a task hands on at once, and rows that it works on at once.
+CELLS, BLOCK_ROWS = 50_000, 1024
 #: Labels, two numbers each, are sent to every executor up to so many rows; more are joined by shuffle.
 BROADCAST_ROWS = 500_000
 
@@ -58,8 +58,10 @@ class Machine:
     weights: np.ndarray
     vectors: np.ndarray
 
-    def score(self, known: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
-        """``known`` holds places of terms, ``row`` the row of each, in order of rows."""
+    def score(self, known: np.ndarray, begins: np.ndarray) -> np.ndarray:
+        """``known`` holds places of terms row after row, the last of row i before ``begins[i + 1]``."""
+        rows = len(begins) - 1
+        row = np.repeat(np.arange(rows), np.diff(begins))
         linear = np.bincount(row, self.weights[known], rows)
         v = self.vectors[known]
         pairs = np.zeros(rows)
@@ -68,16 +70,18 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.bias + linear + pairs / 2, -60, 60)))
 
 
-def known_terms(lists, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the listed hashes among the sorted ``terms``, and the row each is from."""
-    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-    flat = np.concatenate([np.asarray(x, np.int64) for x in lists]) if len(lists) else np.empty(0, np.int64)
-    row = np.repeat(np.arange(len(lists)), sizes)
-    if not len(terms):
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    place = np.minimum(np.searchsorted(terms, flat), len(terms) - 1)
-    known = terms[place] == flat
-    return place[known], row[known]
+def known_terms(lists: pa.ListArray, terms: np.ndarray):
+    """Blocks of rows: where a block begins, the places of its hashes among the sorted ``terms``, and where each row's begin.
+
+    A block is small, so that a task's memory does not follow the size of Spark's batches.
+    """
+    offsets, flat = lists.offsets.to_numpy(), lists.values
+    for at in range(0, len(lists), BLOCK_ROWS):
+        edges = offsets[at : at + BLOCK_ROWS + 1]
+        hashes = flat.slice(edges[0], edges[-1] - edges[0]).to_numpy().astype(np.int64)
+        place = np.minimum(np.searchsorted(terms, hashes), max(0, len(terms) - 1))
+        known = terms[place] == hashes if len(terms) else np.zeros(len(hashes), bool)
+        yield at, place[known], np.concatenate([[0], np.cumsum(known)])[edges - edges[0]]
 
 
 @dataclass
@@ -105,18 +109,20 @@ def pair_counts(labelled: DataFrame, anchors: np.ndarray, terms: np.ndarray) ->
 
     def count(batches):
         sums = np.zeros(shape, np.int64)
-        for frame in batches:
-            place, row = known_terms(frame["terms"].tolist(), terms)
-            for toxic, some in zip(frame["toxic"], np.split(place, np.searchsorted(row, np.arange(1, len(frame))))):
-                held = which[some]
-                sums[toxic][np.ix_(held[held >= 0], some)] += 1
+        for batch in batches:
+            toxic = batch.column("toxic").to_numpy()
+            for at, place, begins in known_terms(batch.column("terms"), terms):
+                for label, a, b in zip(toxic[at:], begins, begins[1:]):
+                    some = place[a:b]
+                    held = which[some]
+                    sums[label][np.ix_(held[held >= 0], some)] += 1
         cells = np.flatnonzero(sums)
         for at in range(0, len(cells), CELLS):
             some = cells[at : at + CELLS]
-            yield pd.DataFrame({"cell": some, "n": sums.ravel()[some]})
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(sums.ravel()[some])], ["cell", "n"])
 
     # Cells that occur are summed by Spark, each by itself, so no group grows with the tasks.
-    summed = labelled.select("toxic", "terms").mapInPandas(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    summed = labelled.select("toxic", "terms").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(shape)
     out.ravel()[summed["cell"].to_numpy()] = summed["n"].to_numpy()
     return out
@@ -204,13 +210,15 @@ def known_rows(labelled: DataFrame, terms: np.ndarray) -> DataFrame:
     kind = packed_kind(terms)
 
     def reduce(batches):
-        for frame in batches:
-            place, row = known_terms(frame["terms"].tolist(), terms)
-            parts = np.split(place.astype(kind), np.searchsorted(row, np.arange(1, len(frame))))
-            yield frame[["hash", "toxic"]].assign(known=[p.tobytes() for p in parts])
+        for batch in batches:
+            packed = []
+            for _, place, begins in known_terms(batch.column("terms"), terms):
+                place = place.astype(kind)
+                packed += [place[a:b].tobytes() for a, b in zip(begins, begins[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column("hash"), batch.column("toxic"), pa.array(packed, pa.binary())], ["hash", "toxic", "known"])
 
     rows = labelled.select(F.xxhash64("doc_id").alias("hash"), "toxic", "terms")
-    return rows.mapInPandas(reduce, "hash long, toxic int, known binary")
+    return rows.mapInArrow(reduce, "hash long, toxic int, known binary")
 
 
 def packed_kind(terms: np.ndarray) -> str:
@@ -257,10 +265,10 @@ def train(documents: DataFrame, labels: DataFrame, count: int = TERMS, rows: int
 def score_column(machine: Machine, text: Column) -> Column:
     """Probability that a text is toxic; terms are made by Spark, and only sums over them in Python."""
 
-    @F.pandas_udf("double")
-    def score(lists: pd.Series) -> pd.Series:
-        known, row = known_terms(lists.tolist(), machine.terms)
-        return pd.Series(machine.score(known, row, len(lists)))
+    @F.arrow_udf("double")
+    def score(lists: pa.Array) -> pa.Array:
+        parts = [machine.score(place, begins) for _, place, begins in known_terms(lists, machine.terms)]
+        return pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
     return score(hashed_terms(text))
 
