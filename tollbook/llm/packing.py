@@ -20,7 +20,7 @@ from tollbook.llm.common import held, stored
 LENGTH, GROUP_PIECES, SEED = 2048, 4096, 3
 #: The token that ends every document.
 END_ID = 1
-#: Words whose ids a Python worker keeps. Frequent words come early, so later ones are just not kept.
+#: Words, and pieces of words, whose ids a Python worker keeps. Frequent ones come early, so later ones are just not kept.
 KEPT_WORDS = 300_000
 
 
@@ -36,7 +36,7 @@ class Tokens(dict):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.tokenizer, self.kept = Tokenizer.from_file(path), {}
+        self.tokenizer = Tokenizer.from_file(path)
         # The split pattern of this tokenizer, and the byte alphabet of byte-level vocabularies.
         self.pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -46,21 +46,17 @@ class Tokens(dict):
 
     def __missing__(self, word: str) -> bytes:
         if self.plain(word) and "<|" not in word:
-            packed = b"".join([self._piece(p) for p in self.pattern.findall(word.lower())])
+            pieces = self.pattern.findall(word.lower())
+            packed = self._merged(word) if pieces == [word] else b"".join([self[p] for p in pieces])
         else:
             packed = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
         if len(self) < KEPT_WORDS:
             self[word] = packed
         return packed
 
-    def _piece(self, piece: str) -> bytes:
-        packed = self.kept.get(piece)
-        if packed is None:
-            letters = piece.encode().decode("latin-1").translate(self.alphabet)
-            packed = b"".join([t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(letters)])
-            if len(self.kept) < KEPT_WORDS:
-                self.kept[piece] = packed
-        return packed
+    def _merged(self, piece: str) -> bytes:
+        letters = piece.encode().decode("latin-1").translate(self.alphabet)
+        return b"".join([t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(letters)])
 
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
