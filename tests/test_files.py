@@ -1,5 +1,6 @@
 """Sources, sinks and the arrival stream."""
 
+import json
 import os
 import subprocess
 import sys
@@ -230,3 +231,45 @@ assert len(os.listdir({str(shared)!r})) >= 4
             time.sleep(0.5)
         # Spark itself makes an empty folder of each program.
         assert left() == [] and len(os.listdir(shared)) <= 2
+
+
+def test_files_of_many_claims_are_written_without_a_sort(spark, tmp_path):
+    """A task's memory does not grow with the rows of its files; the event log of a session of its own tells."""
+    spark.range(900).selectExpr(
+        "id as event_id", "timestamp_seconds(id * 90000) as ts", "id % 30 as user_id", "'sms' as event_type", "id / 4d as value"
+    ).write.parquet(str(tmp_path / "events.parquet"))
+    (tmp_path / "log").mkdir()
+    code = """
+import json, sys
+from tollbook.catalog import files
+from tollbook.session import build_session
+folder = sys.argv[1]
+session = build_session("log", "local[2]", spark__ui__enabled="false", spark__checkpoint__dir=f"{folder}/shared", spark__eventLog__enabled="true",
+    spark__eventLog__dir=f"{folder}/log", spark__eventLog__compress="false", spark__eventLog__rolling__enabled="false")
+key = "spark.sql.maxConcurrentOutputFileWriters"
+class Written(Exception):
+    pass
+def found(spark, place):
+    rows = spark.read.options(header=True).csv(place).selectExpr("file_no", "_metadata.file_path as path")
+    print(json.dumps([rows.groupBy("file_no").count().orderBy("file_no").collect(), rows.distinct().count()]))
+    raise Written
+files.list_files = found
+before = session.conf.get(key)
+try:
+    files.batch_many_claims(session, folder)
+except Written:
+    assert session.conf.get(key) == before
+session.stop()
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", code, str(tmp_path)], cwd=root, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+    counts, paths = json.loads(done.stdout)
+    assert counts == [[n, 300] for n in range(1, 7)] and paths == 6
+    events = [json.loads(line) for log in (tmp_path / "log").iterdir() if not log.name.startswith(".") for line in log.read_text().splitlines()]
+    writing = {
+        e["Stage Info"]["Stage ID"] for e in events if e["Event"] == "SparkListenerStageCompleted"
+        and any('"WriteFiles"' in r.get("Scope", "") for r in e["Stage Info"]["RDD Info"])
+    }
+    peaks = [e["Task Metrics"]["Peak Execution Memory"] for e in events if e["Event"] == "SparkListenerTaskEnd" and e["Stage ID"] in writing]
+    assert peaks and max(peaks) == 0

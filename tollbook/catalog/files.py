@@ -9,7 +9,7 @@ from tollbook.catalog import inputs as I
 from tollbook.catalog import query, table
 from tollbook.plans.batch import BatchOptions, run_all, run_batch
 from tollbook.plans.registry import Manifest
-from tollbook.session import scratch_path
+from tollbook.session import files_side_by_side, scratch_path
 from tollbook.sinks.files import write_parquet
 from tollbook.sinks.store import TableStore
 from tollbook.sources.csv_files import read_csv_records
@@ -115,7 +115,8 @@ def batch_many_claims(spark, folder):
     number = F.when(F.col("ftp_filename") == "f1.csv", 1).otherwise(4) + F.col("served_msisdn").cast("int") % 3
     numbered = I.raw_flexi(spark, folder).withColumn("file_no", number)
     writer = numbered.repartition(6, "file_no").write.partitionBy("file_no")
-    writer.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{base}/frt_flexi_export_in")
+    with files_side_by_side(spark, 16):
+        writer.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{base}/frt_flexi_export_in")
     found = list_files(spark, f"{base}/frt_flexi_export_in").withColumn(
         "modificationTime", F.timestamp_seconds(F.regexp_extract("s3_path", r"file_no=(\d+)", 1).cast("int"))
     )
